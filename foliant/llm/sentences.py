@@ -1,461 +1,461 @@
-"""Sentence\u0020boundaries\u0020across\u0020languages\u0020and\u0020scripts,\u0020by\u0020a\u0020finite\u0020transducer\u0020over\u0020boundary\u0020symbols.
+"""Sentence boundaries across languages and scripts, by a finite transducer over boundary symbols.
 
-Each\u0020mark\u0020of\u0020a\u0020text\u0020becomes\u0020a\u0020symbol\u0020by\u0020what\u0020stands\u0020near\u0020it:\u0020at\u0020most\u0020`CONTEXT`\u0020characters\u0020on\u0020either\u0020side.\u0020The\u0020transducer
-carries\u0020what\u0020no\u0020bounded\u0020context\u0020tells:\u0020whether\u0020a\u0020unit\u0020is\u0020open,\u0020which\u0020quotation\u0020is,\u0020whether\u0020that\u0020began\u0020the\u0020unit,\u0020and
-whether\u0020the\u0020line\u0020is\u0020of\u0020a\u0020list.\u0020A\u0020chunk\u0020of\u0020a\u0020text\u0020is\u0020a\u0020function\u0020from\u0020state\u0020to\u0020state,\u0020so\u0020the\u0020chunks\u0020of\u0020a\u0020long\u0020text\u0020are\u0020read
-apart\u0020and\u0020their\u0020functions\u0020composed\u0020by\u0020a\u0020prefix\u0020scan;\u0020each\u0020chunk's\u0020units\u0020then\u0020follow\u0020from\u0020the\u0020state\u0020before\u0020it.
+Each mark of a text becomes a symbol by what stands near it: at most `CONTEXT` characters on either side. The transducer
+carries what no bounded context tells: whether a unit is open, which quotation is, whether that began the unit, and
+whether the line is of a list. A chunk of a text is a function from state to state, so the chunks of a long text are read
+apart and their functions composed by a prefix scan; each chunk's units then follow from the state before it.
 """
 
-from\u0020__future__\u0020import\u0020annotations
-
-import\u0020re
-from\u0020itertools\u0020import\u0020product
-
-import\u0020numpy\u0020as\u0020np
-import\u0020pyarrow\u0020as\u0020pa
-from\u0020pyspark.sql\u0020import\u0020DataFrame
-from\u0020pyspark.sql\u0020import\u0020functions\u0020as\u0020F
-
-CONTEXT\u0020=\u00201024
-#:\u0020Longest\u0020quotation\u0020that\u0020can\u0020hold\u0020stops,\u0020and\u0020the\u0020characters\u0020of\u0020a\u0020line\u0020that\u0020a\u0020wrap\u0020leaves\u0020at\u0020least.
-QUOTED,\u0020WRAPPED\u0020=\u0020600,\u002050
-
-#\u0020Fixed\u0020values:\u0020common\u0020abbreviations\u0020in\u0020lower\u0020case\u0020without\u0020their\u0020last\u0020stop.\u0020The\u0020first\u0020never\u0020end\u0020a\u0020sentence\u0020inside\u0020a\u0020line;
-#\u0020the\u0020second\u0020end\u0020one\u0020if\u0020the\u0020next\u0020word\u0020begins\u0020like\u0020a\u0020sentence.
-INSIDE\u0020=\u0020set(
-\u0020\u0020\u0020\u0020"""mr\u0020mrs\u0020ms\u0020dr\u0020prof\u0020st\u0020fig\u0020figs\u0020no\u0020nos\u0020vol\u0020vols\u0020p\u0020pp\u0020cf\u0020i.e\u0020e.g\u0020approx\u0020dept\u0020ed\u0020eds\u0020est\u0020vs\u0020viz\u0020ch\u0020sec\u0020art\u0020ref
-\u0020\u0020\u0020\u0020m\u0020mm\u0020mme\u0020mmes\u0020mlle\u0020mlles\u0020pr\u0020me\u0020env\u0020chap\u0020éd\u0020ex\u0020c.-à-d\u0020c-à-d\u0020p.ex\u0020n\u0020t\u0020av\u0020bd\u0020tél\u0020réf\u0020coll\u0020trad
-\u0020\u0020\u0020\u0020hr\u0020fr\u0020frl\u0020nr\u0020bd\u0020s\u0020abb\u0020z.b\u0020d.h\u0020u.a.m\u0020ca\u0020vgl\u0020bzw\u0020evtl\u0020ggf\u0020inkl\u0020zzgl\u0020str\u0020geb\u0020gest\u0020sog\u0020tel\u0020i.d.r\u0020o.ä\u0020z.t\u0020v.a\u0020hrsg\u0020aufl\u0020kap
-\u0020\u0020\u0020\u0020sr\u0020sra\u0020srta\u0020sres\u0020dra\u0020pág\u0020págs\u0020p.ej\u0020núm\u0020núms\u0020cap\u0020caps\u0020aprox\u0020ej\u0020ud\u0020uds\u0020vd\u0020vds\u0020av\u0020avda
-\u0020\u0020\u0020\u0020jan\u0020feb\u0020mar\u0020apr\u0020jun\u0020jul\u0020aug\u0020sep\u0020sept\u0020oct\u0020nov\u0020dec\u0020janv\u0020févr\u0020avr\u0020juil\u0020juill\u0020oct\u0020déc\u0020febr\u0020okt\u0020dez\u0020ene\u0020en\u0020mzo\u0020abr\u0020my\u0020ago\u0020ag\u0020dic
-\u0020\u0020\u0020\u0020κ\u0020κα\u0020κκ\u0020δηλ\u0020π.χ\u0020σελ\u0020αρ\u0020βλ\u0020χιλ\u0020εκ\u0020κεφ\u0020τόμ\u0020παρ\u0020λεωφ\u0020δρ\u0020καθ\u0020ιαν\u0020φεβρ\u0020μαρτ\u0020απρ\u0020ιουν\u0020ιουλ\u0020αυγ\u0020σεπτ\u0020οκτ\u0020νοε\u0020δεκ
-\u0020\u0020\u0020\u0020د\u0020أ\u0020أ.د\u0020ص\u0020م\u0020ج\u0020ط\u0020هـ\u0020ق.م\u0020ب.م
-\u0020\u0020\u0020\u0020พ.ศ\u0020ค.ศ\u0020น\u0020ดร\u0020รศ\u0020ผศ\u0020ศ\u0020นพ\u0020พญ\u0020ด.ช\u0020ด.ญ\u0020น.ส\u0020ม.ร.ว\u0020ต.ค\u0020ม.ค\u0020ก.พ\u0020มี.ค\u0020เม.ย\u0020พ.ค\u0020มิ.ย\u0020ก.ค\u0020ส.ค\u0020ก.ย\u0020พ.ย\u0020ธ.ค\u0020ม\u0020ซม\u0020กม\u0020กก""".split()
+from __future__ import annotations
+
+import re
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+CONTEXT = 1024
+#: Longest quotation that can hold stops, and the characters of a line that a wrap leaves at least.
+QUOTED, WRAPPED = 600, 50
+
+# Common abbreviations in lower case without their last stop. The first never end a sentence inside a line;
+# the second end one if the next word begins like a sentence.
+INSIDE = set(
+    """mr mrs ms dr prof st fig figs no nos vol vols p pp cf i.e e.g approx dept ed eds est vs viz ch sec art ref
+    m mm mme mmes mlle mlles pr me env chap éd ex c.-à-d c-à-d p.ex n t av bd tél réf coll trad
+    hr fr frl nr bd s abb z.b d.h u.a.m ca vgl bzw evtl ggf inkl zzgl str geb gest sog tel i.d.r o.ä z.t v.a hrsg aufl kap
+    sr sra srta sres dra pág págs p.ej núm núms cap caps aprox ej ud uds vd vds av avda
+    jan feb mar apr jun jul aug sep sept oct nov dec janv févr avr juil juill oct déc febr okt dez ene en mzo abr my ago ag dic
+    κ κα κκ δηλ π.χ σελ αρ βλ χιλ εκ κεφ τόμ παρ λεωφ δρ καθ ιαν φεβρ μαρτ απρ ιουν ιουλ αυγ σεπτ οκτ νοε δεκ
+    د أ أ.د ص م ج ط هـ ق.م ب.م
+    พ.ศ ค.ศ น ดร รศ ผศ ศ นพ พญ ด.ช ด.ญ น.ส ม.ร.ว ต.ค ม.ค ก.พ มี.ค เม.ย พ.ค มิ.ย ก.ค ส.ค ก.ย พ.ย ธ.ค ม ซม กม กก""".split()
 )
-EITHER\u0020=\u0020set("""etc\u0020usw\u0020usf\u0020ff\u0020a.m\u0020p.m\u0020am\u0020pm\u0020min\u0020mins\u0020std\u0020sek\u0020sec\u0020h\u0020u.a\u0020κτλ\u0020κ.λπ\u0020κ.ά\u0020π.μ\u0020μ.μ\u0020jr\u0020inc\u0020ltd\u0020co\u0020corp\u0020uds\u0020ee.uu\u0020إلخ""".split())
-#:\u0020German\u0020words\u0020before\u0020a\u0020number\u0020with\u0020a\u0020stop\u0020that\u0020is\u0020an\u0020ordinal;\u0020months\u0020after\u0020one.
-BEFORE_ORDINAL\u0020=\u0020set("im\u0020am\u0020vom\u0020zum\u0020zur\u0020der\u0020die\u0020das\u0020dem\u0020den\u0020des\u0020beim\u0020ab\u0020bis\u0020seit\u0020jeder\u0020jede\u0020jedes\u0020jedem\u0020ins\u0020auf".split())
-MONTHS\u0020=\u0020set("januar\u0020jänner\u0020februar\u0020märz\u0020april\u0020mai\u0020juni\u0020juli\u0020august\u0020september\u0020oktober\u0020november\u0020dezember\u0020jan\u0020jan.\u0020feb.\u0020febr.\u0020mär.\u0020apr.\u0020aug.\u0020sept.\u0020okt.\u0020nov.\u0020dez.".split())
-
-BLANK\u0020=\u0020r"\s\u200b\u2060\ufeff"
-STOPS\u0020=\u0020".!?…。！？｡।॥؟;;"
-PAIRS\u0020=\u0020("«»",\u0020"“”",\u0020"„“",\u0020"„”",\u0020"「」",\u0020"『』",\u0020"‹›",\u0020'""',\u0020"»«")
-QUOTES\u0020=\u0020"".join(sorted({c\u0020for\u0020p\u0020in\u0020PAIRS\u0020for\u0020c\u0020in\u0020p}))
-THAI\u0020=\u0020r"฀-๿"
-CJK\u0020=\u0020r"぀-ヿ㐀-䶿一-鿿豈-﫿"
-LINE_END\u0020=\u0020r"(?:\r\n|[\r\n\x0b\x0c\x1c-\x1e\x85  ])"
-_PLAIN\u0020=\u0020f"[^{re.escape(STOPS\u0020+\u0020QUOTES)}\r\n\x0b\x0c\x1c-\x1e\x85  {{}}]"
-_TOKEN\u0020=\u0020rf"(?P<line>[{BLANK}]*{LINE_END}[{BLANK}]*)|(?P<stop>[{re.escape(STOPS)}]+)|(?P<quote>[{re.escape(QUOTES)}])"
-TOKEN\u0020=\u0020re.compile(rf"{_TOKEN}|(?P<text>{_PLAIN.format('')}+)")
-TOKEN_THAI\u0020=\u0020re.compile(rf"{_TOKEN}|(?P<text>{_PLAIN.format(BLANK)}+)|(?P<blank>[{BLANK}]+)")
-HAS_THAI\u0020=\u0020re.compile(f"[{THAI}]")
-FIRST\u0020=\u0020re.compile(rf"[^{BLANK}]")
-CLOSERS\u0020=\u0020re.compile(r"[)\]}）］】〉》’'”»]*")
-LINES\u0020=\u0020re.compile(LINE_END)
-BULLET\u0020=\u0020re.compile(rf"(?:[-–—•*·・▪◦‣►■□○●✓✔][{BLANK}]|[・•])")
-NUMBERED\u0020=\u0020re.compile(rf"\(?(?:\d{{1,3}}|[a-zA-Z]|[ivx]{{1,5}})(?:\)[{BLANK}]|[、．])|[①-⑳]")
-POINTED\u0020=\u0020re.compile(rf"\d{{1,3}}\.[{BLANK}]+\S")
-LAST_WORD\u0020=\u0020re.compile(r"[^\W_]+(?:[.\-'’][^\W_]+)*$")
-ENDING\u0020=\u0020re.compile(rf"[.!?…。！？｡।॥؟][{re.escape(QUOTES)}’')\]）]*$")
-
-SYMBOLS\u0020=\u0020["text",\u0020"stop",\u0020"hard",\u0020"break",\u0020"list",\u0020"thai",\u0020*(f"{k}{i}"\u0020for\u0020i\u0020in\u0020range(len(PAIRS))\u0020for\u0020k\u0020in\u0020("open",\u0020"close",\u0020"last"))]
-SYMBOL\u0020=\u0020{s:\u0020k\u0020for\u0020k,\u0020s\u0020in\u0020enumerate(SYMBOLS)}
-#:\u0020Unit\u0020open,\u0020quotation\u0020open\u0020(0\u0020none),\u0020it\u0020began\u0020the\u0020unit,\u0020line\u0020of\u0020a\u0020list.
-STATES\u0020=\u0020[s\u0020for\u0020s\u0020in\u0020product((0,\u00201),\u0020range(len(PAIRS)\u0020+\u00201),\u0020(0,\u00201),\u0020(0,\u00201))\u0020if\u0020s[1]\u0020or\u0020not\u0020s[2]]
-STATE\u0020=\u0020{s:\u0020k\u0020for\u0020k,\u0020s\u0020in\u0020enumerate(STATES)}
-START,\u0020STARTS,\u0020ENDS_BEFORE,\u0020ENDS_AFTER\u0020=\u0020STATE[0,\u00200,\u00200,\u00200],\u00201,\u00202,\u00204
-
-
-def\u0020_step(state:\u0020tuple,\u0020symbol:\u0020str)\u0020->\u0020tuple[tuple,\u0020int]:
-\u0020\u0020\u0020\u0020"""The\u0020rules:\u0020what\u0020a\u0020symbol\u0020does\u0020in\u0020a\u0020state."""
-\u0020\u0020\u0020\u0020is_open,\u0020quote,\u0020first,\u0020listed\u0020=\u0020state
-\u0020\u0020\u0020\u0020if\u0020symbol\u0020in\u0020("hard",\u0020"break"):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020(0,\u00200,\u00200,\u00200),\u0020ENDS_BEFORE\u0020*\u0020is_open
-\u0020\u0020\u0020\u0020if\u0020symbol\u0020==\u0020"list":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020(0,\u00200,\u00200,\u00201),\u0020ENDS_BEFORE\u0020*\u0020is_open
-\u0020\u0020\u0020\u0020if\u0020symbol\u0020==\u0020"thai":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020((0,\u00200,\u00200,\u00200),\u0020ENDS_BEFORE)\u0020if\u0020is_open\u0020and\u0020not\u0020quote\u0020and\u0020not\u0020listed\u0020else\u0020(state,\u00200)
-\u0020\u0020\u0020\u0020begins\u0020=\u0020STARTS\u0020*\u0020(1\u0020-\u0020is_open)
-\u0020\u0020\u0020\u0020if\u0020symbol[:-1]\u0020==\u0020"open"\u0020and\u0020not\u0020quote:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020(1,\u0020int(symbol[-1])\u0020+\u00201,\u00201\u0020-\u0020is_open,\u0020listed),\u0020begins
-\u0020\u0020\u0020\u0020if\u0020symbol[:-1]\u0020in\u0020("close",\u0020"last")\u0020and\u0020quote\u0020==\u0020int(symbol[-1])\u0020+\u00201:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ends\u0020=\u0020symbol[:-1]\u0020==\u0020"last"\u0020and\u0020not\u0020first\u0020and\u0020not\u0020listed
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020((0,\u00200,\u00200,\u00200),\u0020ENDS_AFTER)\u0020if\u0020ends\u0020else\u0020((1,\u00200,\u00200,\u0020listed),\u00200)
-\u0020\u0020\u0020\u0020if\u0020symbol\u0020==\u0020"stop"\u0020and\u0020is_open\u0020and\u0020not\u0020quote\u0020and\u0020not\u0020listed:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020(0,\u00200,\u00200,\u00200),\u0020ENDS_AFTER
-\u0020\u0020\u0020\u0020return\u0020(1,\u0020quote,\u0020first,\u0020listed),\u0020begins
-
-
-def\u0020_compile()\u0020->\u0020tuple[np.ndarray,\u0020np.ndarray]:
-\u0020\u0020\u0020\u0020made\u0020=\u0020[[_step(s,\u0020x)\u0020for\u0020x\u0020in\u0020SYMBOLS]\u0020for\u0020s\u0020in\u0020STATES]
-\u0020\u0020\u0020\u0020return\u0020np.array([[STATE[s]\u0020for\u0020s,\u0020_\u0020in\u0020row]\u0020for\u0020row\u0020in\u0020made],\u0020dtype=np.int16),\u0020np.array([[o\u0020for\u0020_,\u0020o\u0020in\u0020row]\u0020for\u0020row\u0020in\u0020made],\u0020dtype=np.int8)
-
-
-NEXT,\u0020OUT\u0020=\u0020_compile()
-_NEXT,\u0020_OUT\u0020=\u0020NEXT.tolist(),\u0020OUT.tolist()
-
-
-def\u0020_word_before(text:\u0020str,\u0020at:\u0020int)\u0020->\u0020str:
-\u0020\u0020\u0020\u0020"""The\u0020word,\u0020with\u0020inner\u0020stops,\u0020that\u0020ends\u0020at\u0020a\u0020stop."""
-\u0020\u0020\u0020\u0020m\u0020=\u0020LAST_WORD.search(text,\u0020max(0,\u0020at\u0020-\u002040),\u0020at)
-\u0020\u0020\u0020\u0020return\u0020m[0]\u0020if\u0020m\u0020else\u0020""
-
-
-def\u0020_like_start(text:\u0020str,\u0020at:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020"""Whether\u0020what\u0020stands\u0020at\u0020a\u0020position\u0020can\u0020begin\u0020a\u0020sentence:\u0020no\u0020lower-case\u0020word,\u0020but\u0020a\u0020name\u0020of\u0020a\u0020file\u0020may."""
-\u0020\u0020\u0020\u0020c\u0020=\u0020text[at]
-\u0020\u0020\u0020\u0020if\u0020c.islower():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020m\u0020=\u0020re.compile(r"[^\s]+").match(text,\u0020at,\u0020at\u0020+\u002060)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020bool(re.match(r"[^\W\d_]+\d+_|\w+_\w+\.\w",\u0020m[0]))
-\u0020\u0020\u0020\u0020return\u0020c.isalnum()\u0020or\u0020c\u0020in\u0020"¿¡([（【#§"\u0020+\u0020QUOTES
-
-
-def\u0020_is_stop(text:\u0020str,\u0020a:\u0020int,\u0020b:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020"""Whether\u0020the\u0020stops\u0020text[a:b]\u0020end\u0020a\u0020sentence\u0020if\u0020no\u0020quotation\u0020holds\u0020them."""
-\u0020\u0020\u0020\u0020mark,\u0020size\u0020=\u0020text[a:b],\u0020len(text)
-\u0020\u0020\u0020\u0020if\u0020set(mark)\u0020&\u0020set("。！？｡।॥؟"):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020True
-\u0020\u0020\u0020\u0020before\u0020=\u0020text[a\u0020-\u00201]\u0020if\u0020a\u0020else\u0020"\u0020"
-\u0020\u0020\u0020\u0020m\u0020=\u0020FIRST.search(text,\u0020b,\u0020min(size,\u0020b\u0020+\u0020200))
-\u0020\u0020\u0020\u0020follows\u0020=\u0020m.start()\u0020if\u0020m\u0020else\u0020size
-\u0020\u0020\u0020\u0020if\u0020";"\u0020in\u0020mark\u0020or\u0020";"\u0020in\u0020mark:\u0020\u0020#\u0020the\u0020Greek\u0020question\u0020mark
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020bool(re.match(r"[Ͱ-Ͽἀ-῿]",\u0020before))\u0020and\u0020(follows\u0020>\u0020b\u0020or\u0020follows\u0020==\u0020size)\u0020and\u0020set(mark)\u0020<=\u0020set(";;!?")
-\u0020\u0020\u0020\u0020if\u0020"!"\u0020in\u0020mark\u0020or\u0020"?"\u0020in\u0020mark:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020follows\u0020>\u0020b\u0020or\u0020follows\u0020>=\u0020size\u0020or\u0020text[b].isupper()\u0020or\u0020bool(re.match(f"[{CJK}{QUOTES}¿¡)’']",\u0020text[b]))
-\u0020\u0020\u0020\u0020if\u0020"…"\u0020in\u0020mark\u0020or\u0020len(mark)\u0020>\u00201:\u0020\u0020#\u0020dots\u0020of\u0020omission
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020follows\u0020>=\u0020size:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020True
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020word\u0020=\u0020text[follows\u0020:\u0020follows\u0020+\u00202]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020follows\u0020>\u0020b\u0020and\u0020word[0].isupper()\u0020and\u0020word[1:].islower()
-\u0020\u0020\u0020\u0020if\u0020follows\u0020>=\u0020size\u0020and\u0020not\u0020m:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020True
-\u0020\u0020\u0020\u0020if\u0020follows\u0020==\u0020b:\u0020\u0020#\u0020no\u0020blank
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020text[b].isupper()\u0020and\u0020b\u0020+\u00201\u0020<\u0020size\u0020and\u0020text[b\u0020+\u00201].islower():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020word\u0020=\u0020_word_before(text,\u0020a)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020(len(word)\u0020>\u00202\u0020or\u0020word.isdigit())\u0020and\u0020"."\u0020not\u0020in\u0020word\u0020and\u0020word.lower()\u0020not\u0020in\u0020INSIDE
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020text[b]\u0020in\u0020")]’'”»"\u0020and\u0020_after_closers(text,\u0020b)
-\u0020\u0020\u0020\u0020if\u0020re.match(r"[ऀ-෿]",\u0020before):\u0020\u0020#\u0020these\u0020scripts\u0020end\u0020sentences\u0020with\u0020a\u0020danda
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020word\u0020=\u0020_word_before(text,\u0020a)
-\u0020\u0020\u0020\u0020low\u0020=\u0020word.lower()
-\u0020\u0020\u0020\u0020if\u0020not\u0020word:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020not\u0020before.isspace()
-\u0020\u0020\u0020\u0020if\u0020low\u0020==\u0020"no":\u0020\u0020#\u0020the\u0020answer,\u0020or\u0020a\u0020number's\u0020sign
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020_begins(text,\u0020a\u0020-\u00202)\u0020or\u0020not\u0020text[follows].isdigit()\u0020and\u0020_like_start(text,\u0020follows)
-\u0020\u0020\u0020\u0020if\u0020len(word)\u0020==\u00201\u0020and\u0020word.isupper():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020if\u0020low\u0020in\u0020EITHER\u0020or\u0020low.rpartition(".")[2]\u0020in\u0020("m",\u0020"μ")\u0020and\u0020_meridiem(text,\u0020a):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020_like_start(text,\u0020follows)
-\u0020\u0020\u0020\u0020if\u0020low\u0020in\u0020INSIDE\u0020or\u0020low\u0020in\u0020("b",\u0020"h",\u0020"d",\u0020"z",\u0020"ex",\u0020"ej",\u0020"à-d",\u0020"uu"):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020if\u0020len(word)\u0020==\u00201\u0020and\u0020word.isalpha():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020if\u0020"."\u0020in\u0020word\u0020and\u0020all(len(x)\u0020<=\u00202\u0020for\u0020x\u0020in\u0020word.split("."))\u0020and\u0020not\u0020word[-1].isdigit():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020if\u0020word.isdigit()\u0020and\u0020len(word)\u0020<=\u00202:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020re.compile(r"\d{1,2}\.\s?\d{2,4}\b").match(text,\u0020follows):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020next_word\u0020=\u0020re.compile(r"[^\W\d_]+\.?").match(text,\u0020follows)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020earlier\u0020=\u0020_word_before(text,\u0020_end_before(text,\u0020a\u0020-\u0020len(word)))
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020next_word\u0020and\u0020(next_word[0].lower()\u0020in\u0020MONTHS\u0020or\u0020earlier.lower()\u0020in\u0020BEFORE_ORDINAL\u0020and\u0020_german(text,\u0020follows)):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020return\u0020True
-
-
-def\u0020_end_before(text:\u0020str,\u0020at:\u0020int)\u0020->\u0020int:
-\u0020\u0020\u0020\u0020"""The\u0020end\u0020of\u0020what\u0020isn't\u0020blank\u0020before\u0020a\u0020position."""
-\u0020\u0020\u0020\u0020while\u0020at\u0020>\u00200\u0020and\u0020(text[at\u0020-\u00201].isspace()\u0020or\u0020text[at\u0020-\u00201]\u0020in\u0020"\u200b\u2060\ufeff"):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020at\u0020-=\u00201
-\u0020\u0020\u0020\u0020return\u0020at
-
-
-def\u0020_german(text:\u0020str,\u0020at:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020m\u0020=\u0020re.compile(r"[^\W\d_]+").match(text,\u0020at,\u0020at\u0020+\u002040)
-\u0020\u0020\u0020\u0020return\u0020bool(m)\u0020and\u0020m[0][0].isupper()
-
-
-def\u0020_meridiem(text:\u0020str,\u0020a:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020return\u0020bool(re.search(r"(?:\b[ap]\.\u0020?m|[πμ]\.\u0020?μ)$",\u0020text[max(0,\u0020a\u0020-\u00206)\u0020:\u0020a]))
-
-
-def\u0020_begins(text:\u0020str,\u0020at:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020"""Whether\u0020a\u0020position\u0020begins\u0020a\u0020text,\u0020a\u0020line\u0020or\u0020the\u0020words\u0020after\u0020a\u0020stop."""
-\u0020\u0020\u0020\u0020end\u0020=\u0020_end_before(text,\u0020at)
-\u0020\u0020\u0020\u0020return\u0020end\u0020==\u00200\u0020or\u0020bool(LINES.search(text,\u0020end,\u0020at))\u0020or\u0020text[end\u0020-\u00201]\u0020in\u0020STOPS\u0020+\u0020QUOTES
-
-
-def\u0020_after_closers(text:\u0020str,\u0020b:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020e\u0020=\u0020CLOSERS.match(text,\u0020b).end()
-\u0020\u0020\u0020\u0020m\u0020=\u0020FIRST.search(text,\u0020e,\u0020min(len(text),\u0020e\u0020+\u0020200))
-\u0020\u0020\u0020\u0020return\u0020not\u0020m\u0020or\u0020m.start()\u0020>\u0020e\u0020and\u0020_like_start(text,\u0020m.start())
-
-
-def\u0020_line_symbol(text:\u0020str,\u0020a:\u0020int,\u0020b:\u0020int)\u0020->\u0020str\u0020|\u0020None:
-\u0020\u0020\u0020\u0020"""What\u0020the\u0020blanks\u0020text[a:b],\u0020which\u0020hold\u0020line\u0020ends,\u0020do;\u0020None\u0020if\u0020they\u0020only\u0020wrap\u0020a\u0020line."""
-\u0020\u0020\u0020\u0020start\u0020=\u0020max((m.end()\u0020for\u0020m\u0020in\u0020LINES.finditer(text,\u0020max(0,\u0020a\u0020-\u0020400),\u0020a)),\u0020default=max(0,\u0020a\u0020-\u0020400))
-\u0020\u0020\u0020\u0020line\u0020=\u0020text[start:a].strip()
-\u0020\u0020\u0020\u0020n_breaks\u0020=\u0020len(LINES.findall(text,\u0020a,\u0020b))
-\u0020\u0020\u0020\u0020after\u0020=\u0020text[b\u0020:\u0020b\u0020+\u0020200]
-\u0020\u0020\u0020\u0020after\u0020=\u0020after[:\u0020m.start()]\u0020if\u0020(m\u0020:=\u0020LINES.search(after))\u0020else\u0020after
-\u0020\u0020\u0020\u0020if\u0020not\u0020line\u0020or\u0020not\u0020after.strip():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"hard"
-\u0020\u0020\u0020\u0020ended\u0020=\u0020bool(ENDING.search(line))\u0020and\u0020(line[-1]\u0020!=\u0020"."\u0020or\u0020_is_stop(text,\u0020a\u0020-\u00201,\u0020a)\u0020or\u0020line[-2:-1]\u0020==\u0020".")
-\u0020\u0020\u0020\u0020room\u0020=\u0020len(line)\u0020+\u00201\u0020+\u0020len(after.split()[0])
-\u0020\u0020\u0020\u0020long\u0020=\u0020len(line)\u0020>=\u002040\u0020and\u0020room\u0020>=\u0020WRAPPED
-\u0020\u0020\u0020\u0020unfinished\u0020=\u0020long\u0020and\u0020not\u0020ended\u0020and\u0020not\u0020_is_list(line)\u0020and\u0020not\u0020HAS_THAI.search(line)
-\u0020\u0020\u0020\u0020if\u0020BULLET.match(after)\u0020and\u0020not\u0020(unfinished\u0020and\u0020n_breaks\u0020<\u00202)\u0020or\u0020NUMBERED.match(after)\u0020and\u0020not\u0020(unfinished\u0020and\u0020n_breaks\u0020<\u00202\u0020and\u0020after[0].isalpha()):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"list"
-\u0020\u0020\u0020\u0020if\u0020POINTED.match(after)\u0020and\u0020(n_breaks\u0020>\u00201\u0020or\u0020not\u0020unfinished)\u0020and\u0020len(after)\u0020<\u002060\u0020and\u0020not\u0020ENDING.search(after.strip()):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"list"
-\u0020\u0020\u0020\u0020if\u0020n_breaks\u0020>\u00201:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"hard"
-\u0020\u0020\u0020\u0020if\u0020_is_list(line)\u0020and\u0020len(line)\u0020<\u002060:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"break"
-\u0020\u0020\u0020\u0020if\u0020ended:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020None\u0020\u0020#\u0020the\u0020stop\u0020itself\u0020decides
-\u0020\u0020\u0020\u0020if\u0020re.search(f"[{CJK}]$",\u0020line)\u0020and\u0020re.match(f"[{CJK}「『“]",\u0020after):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"break"\u0020if\u0020len(line)\u0020<\u002025\u0020else\u0020None
-\u0020\u0020\u0020\u0020if\u0020re.search(f"[{THAI}]",\u0020line):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020_thai(text,\u0020a,\u0020b)\u0020if\u0020re.search(f"[{THAI}]$",\u0020line)\u0020or\u0020not\u0020len(line)\u0020<\u002030\u0020else\u0020"break"
-\u0020\u0020\u0020\u0020if\u0020after[0].islower()\u0020and\u0020not\u0020re.match(r"[a-z]\d+_",\u0020after):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020None\u0020if\u0020long\u0020or\u0020len(line)\u0020>\u002012\u0020else\u0020"break"
-\u0020\u0020\u0020\u0020if\u0020not\u0020long\u0020or\u0020len(line)\u0020>\u002095\u0020and\u0020not\u0020after[0].isdigit():
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"break"
-\u0020\u0020\u0020\u0020return\u0020None
-
-
-def\u0020_is_list(line:\u0020str)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020return\u0020bool(BULLET.match(line)\u0020or\u0020NUMBERED.match(line)\u0020or\u0020POINTED.match(line)\u0020and\u0020len(line)\u0020<\u002060\u0020and\u0020not\u0020ENDING.search(line))
-
-
-def\u0020_thai(text:\u0020str,\u0020a:\u0020int,\u0020b:\u0020int)\u0020->\u0020str\u0020|\u0020None:
-\u0020\u0020\u0020\u0020"""Thai\u0020ends\u0020its\u0020sentences\u0020with\u0020a\u0020blank;\u0020one\u0020beside\u0020a\u0020number,\u0020a\u0020sign\u0020or\u0020an\u0020abbreviation\u0020ends\u0020none."""
-\u0020\u0020\u0020\u0020before\u0020=\u0020re.search(r"\S*$",\u0020text[max(0,\u0020a\u0020-\u002060)\u0020:\u0020a])[0]
-\u0020\u0020\u0020\u0020after\u0020=\u0020re.compile(r"\S*").match(text,\u0020b,\u0020b\u0020+\u002060)[0]
-\u0020\u0020\u0020\u0020if\u0020not\u0020re.search(f"[{THAI}]$",\u0020before)\u0020or\u0020re.search(r"[\d๐-๙.]",\u0020before)\u0020or\u0020not\u0020after\u0020or\u0020after[0]\u0020==\u0020"ๆ":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020None
-\u0020\u0020\u0020\u0020if\u0020re.match(f"[{THAI}]",\u0020after):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020None\u0020if\u0020"."\u0020in\u0020after\u0020or\u0020re.search(r"^[๐-๙]",\u0020after)\u0020else\u0020"thai"
-\u0020\u0020\u0020\u0020if\u0020after[0].isdigit():\u0020\u0020#\u0020a\u0020number\u0020belongs\u0020to\u0020the\u0020script\u0020after\u0020it
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020beyond\u0020=\u0020re.compile(r"[\d.,:]+[^\S\r\n]*([^\W\d_])").match(text,\u0020b,\u0020b\u0020+\u002060)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020"thai"\u0020if\u0020beyond\u0020and\u0020not\u0020HAS_THAI.match(beyond[1])\u0020else\u0020None
-\u0020\u0020\u0020\u0020return\u0020"thai"\u0020if\u0020after[0].isalpha()\u0020and\u0020not\u0020after[0].islower()\u0020or\u0020after[0]\u0020in\u0020"¿¡"\u0020+\u0020QUOTES\u0020else\u0020None
-
-
-def\u0020_quote_symbol(text:\u0020str,\u0020a:\u0020int)\u0020->\u0020str:
-\u0020\u0020\u0020\u0020"""The\u0020part\u0020that\u0020a\u0020quotation\u0020mark\u0020plays,\u0020if\u0020its\u0020partner\u0020stands\u0020near\u0020in\u0020the\u0020same\u0020paragraph;\u0020else\u0020it\u0020is\u0020text."""
-\u0020\u0020\u0020\u0020c,\u0020size\u0020=\u0020text[a],\u0020len(text)
-\u0020\u0020\u0020\u0020before\u0020=\u0020text[a\u0020-\u00201]\u0020if\u0020a\u0020else\u0020"\u0020"
-\u0020\u0020\u0020\u0020opens\u0020=\u0020a\u0020+\u00201\u0020<\u0020size\u0020and\u0020(c\u0020!=\u0020'"'\u0020or\u0020(before.isspace()\u0020or\u0020before\u0020in\u0020"([（¿¡—–'’"\u0020or\u0020bool(re.match(f"[{CJK}]",\u0020before)))\u0020and\u0020not\u0020text[a\u0020+\u00201].isspace())
-\u0020\u0020\u0020\u0020if\u0020opens:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020paragraph\u0020=\u0020re.compile(rf"{LINE_END}[\u0020\t]*{LINE_END}").search(text,\u0020a,\u0020min(size,\u0020a\u0020+\u0020QUOTED))
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020limit\u0020=\u0020paragraph.start()\u0020if\u0020paragraph\u0020else\u0020min(size,\u0020a\u0020+\u0020QUOTED)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020found\u0020=\u0020[(e,\u0020i)\u0020for\u0020i,\u0020p\u0020in\u0020enumerate(PAIRS)\u0020if\u0020p[0]\u0020==\u0020c\u0020and\u0020(e\u0020:=\u0020text.find(p[1],\u0020a\u0020+\u00201,\u0020limit))\u0020>\u00200]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020c\u0020==\u0020"»":\u0020\u0020#\u0020opens\u0020only\u0020in\u0020the\u0020German\u0020manner,\u0020at\u0020a\u0020word's\u0020beginning
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020found\u0020=\u0020[x\u0020for\u0020x\u0020in\u0020found\u0020if\u0020(before.isspace()\u0020or\u0020not\u0020a)\u0020and\u0020not\u0020text[a\u0020+\u00201].isspace()\u0020and\u0020text.rfind("«",\u0020max(0,\u0020a\u0020-\u0020QUOTED),\u0020a)\u0020<=\u0020text.rfind("»",\u0020max(0,\u0020a\u0020-\u0020QUOTED),\u0020a)]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020found:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020f"open{min(found)[1]}"
-\u0020\u0020\u0020\u0020own\u0020=\u0020[i\u0020for\u0020i,\u0020p\u0020in\u0020enumerate(PAIRS)\u0020if\u0020p[1]\u0020==\u0020c]
-\u0020\u0020\u0020\u0020return\u0020f"close{own[0]}"\u0020if\u0020own\u0020else\u0020"text"
-
-
-def\u0020symbols(text:\u0020str,\u0020begin:\u0020int\u0020=\u00200,\u0020end:\u0020int\u0020|\u0020None\u0020=\u0020None)\u0020->\u0020list[tuple[int,\u0020int,\u0020int]]:
-\u0020\u0020\u0020\u0020"""(symbol,\u0020start,\u0020stop)\u0020of\u0020the\u0020tokens\u0020that\u0020begin\u0020in\u0020text[begin:end];\u0020the\u0020text\u0020around\u0020serves\u0020as\u0020context."""
-\u0020\u0020\u0020\u0020end\u0020=\u0020len(text)\u0020if\u0020end\u0020is\u0020None\u0020else\u0020end
-\u0020\u0020\u0020\u0020out\u0020=\u0020[]
-\u0020\u0020\u0020\u0020thai\u0020=\u0020bool(HAS_THAI.search(text))
-\u0020\u0020\u0020\u0020add\u0020=\u0020lambda\u0020s,\u0020a,\u0020b:\u0020out.append((SYMBOL[s],\u0020a,\u0020b))\u0020\u0020#\u0020noqa:\u0020E731
-\u0020\u0020\u0020\u0020if\u0020begin\u0020==\u00200\u0020and\u0020(m\u0020:=\u0020FIRST.search(text))\u0020and\u0020_is_list(text[m.start()\u0020:\u0020m.start()\u0020+\u002060].split("\n")[0]):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add("list",\u00200,\u00200)
-\u0020\u0020\u0020\u0020at\u0020=\u0020begin
-\u0020\u0020\u0020\u0020pattern\u0020=\u0020TOKEN_THAI\u0020if\u0020thai\u0020else\u0020TOKEN
-\u0020\u0020\u0020\u0020while\u0020at\u0020<\u0020end:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020m\u0020=\u0020pattern.match(text,\u0020at)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020not\u0020m:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020at\u0020+=\u00201
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020continue
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020at,\u0020kind\u0020=\u0020m.end(),\u0020m.lastgroup
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020a,\u0020b\u0020=\u0020m.span()
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020kind\u0020==\u0020"text":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020first\u0020=\u0020FIRST.search(text,\u0020a,\u0020b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020first:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add("text",\u0020first.start(),\u0020_end_before(text,\u0020b))
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020elif\u0020kind\u0020==\u0020"line":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020s\u0020:=\u0020_line_symbol(text,\u0020a,\u0020b):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add(s,\u0020a,\u0020b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020elif\u0020kind\u0020==\u0020"blank":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020s\u0020:=\u0020_thai(text,\u0020a,\u0020b):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add(s,\u0020a,\u0020b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020elif\u0020kind\u0020==\u0020"stop":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020_is_stop(text,\u0020a,\u0020b):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020e\u0020=\u0020CLOSERS.match(text,\u0020b).end()\u0020if\u0020text[b\u0020:\u0020b\u0020+\u00201]\u0020not\u0020in\u0020QUOTES\u0020else\u0020b
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add("stop",\u0020a,\u0020e)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020at\u0020=\u0020max(b,\u0020e)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020else:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add("text",\u0020a,\u0020b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020else:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020s\u0020=\u0020_quote_symbol(text,\u0020a)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020s[:5]\u0020==\u0020"close":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020i,\u0020p\u0020in\u0020enumerate(PAIRS):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020p[1]\u0020==\u0020text[a]:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add(f"{'last'\u0020if\u0020_last(text,\u0020a)\u0020else\u0020'close'}{i}",\u0020a,\u0020b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020else:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020add(s,\u0020a,\u0020b)
-\u0020\u0020\u0020\u0020return\u0020out
-
-
-def\u0020_last(text:\u0020str,\u0020a:\u0020int)\u0020->\u0020bool:
-\u0020\u0020\u0020\u0020"""Whether\u0020a\u0020closing\u0020mark\u0020after\u0020a\u0020stop\u0020ends\u0020the\u0020sentence,\u0020if\u0020the\u0020quotation\u0020didn't\u0020begin\u0020it."""
-\u0020\u0020\u0020\u0020inside\u0020=\u0020_end_before(text,\u0020a)
-\u0020\u0020\u0020\u0020if\u0020not\u0020inside\u0020or\u0020text[inside\u0020-\u00201]\u0020not\u0020in\u0020STOPS\u0020or\u0020text[inside\u0020-\u00201]\u0020==\u0020";":
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020False
-\u0020\u0020\u0020\u0020m\u0020=\u0020FIRST.search(text,\u0020a\u0020+\u00201,\u0020min(len(text),\u0020a\u0020+\u0020200))
-\u0020\u0020\u0020\u0020if\u0020not\u0020m:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020True
-\u0020\u0020\u0020\u0020if\u0020re.match(f"[{CJK}]",\u0020text[m.start()]):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020not\u0020re.match(r"(?:と|って|という|との|とか|を|に|が|は|の|も|で|等|など)",\u0020text[m.start()\u0020:\u0020m.start()\u0020+\u00202])
-\u0020\u0020\u0020\u0020return\u0020_like_start(text,\u0020m.start())\u0020and\u0020text[m.start()]\u0020not\u0020in\u0020"(["
-
-
-def\u0020read(text:\u0020str,\u0020tokens:\u0020list[tuple[int,\u0020int,\u0020int]],\u0020state:\u0020int\u0020=\u0020START)\u0020->\u0020tuple[int,\u0020list[tuple[int,\u0020int]]]:
-\u0020\u0020\u0020\u0020"""The\u0020state\u0020after\u0020tokens\u0020and\u0020the\u0020marks\u0020of\u0020units:\u0020(position,\u00201)\u0020for\u0020a\u0020start,\u0020(position,\u00200)\u0020for\u0020an\u0020end."""
-\u0020\u0020\u0020\u0020marks\u0020=\u0020[]
-\u0020\u0020\u0020\u0020for\u0020symbol,\u0020a,\u0020b\u0020in\u0020tokens:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out\u0020=\u0020_OUT[state][symbol]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020state\u0020=\u0020_NEXT[state][symbol]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020out\u0020&\u0020ENDS_BEFORE:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020marks.append((_end_before(text,\u0020a),\u00200))
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020out\u0020&\u0020STARTS:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020marks.append((a,\u00201))
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020out\u0020&\u0020ENDS_AFTER:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020marks.append((b,\u00200))
-\u0020\u0020\u0020\u0020return\u0020state,\u0020marks
-
-
-def\u0020function(tokens:\u0020list[tuple[int,\u0020int,\u0020int]])\u0020->\u0020np.ndarray:
-\u0020\u0020\u0020\u0020"""A\u0020chunk\u0020as\u0020the\u0020state\u0020after\u0020it\u0020for\u0020each\u0020state\u0020before\u0020it."""
-\u0020\u0020\u0020\u0020state\u0020=\u0020np.arange(len(STATES))
-\u0020\u0020\u0020\u0020for\u0020symbol,\u0020_,\u0020_\u0020in\u0020tokens:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020state\u0020=\u0020NEXT[state,\u0020symbol]
-\u0020\u0020\u0020\u0020return\u0020state
-
-
-def\u0020scan(functions:\u0020np.ndarray)\u0020->\u0020np.ndarray:
-\u0020\u0020\u0020\u0020"""The\u0020state\u0020before\u0020each\u0020chunk,\u0020from\u0020the\u0020chunks'\u0020functions,\u0020by\u0020a\u0020prefix\u0020scan\u0020of\u0020compositions\u0020in\u0020log\u0020steps."""
-\u0020\u0020\u0020\u0020f,\u0020step\u0020=\u0020np.array(functions),\u00201
-\u0020\u0020\u0020\u0020while\u0020step\u0020<\u0020len(f):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020f[step:]\u0020=\u0020np.take_along_axis(f[step:],\u0020f[:-step],\u0020axis=1)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020step\u0020*=\u00202
-\u0020\u0020\u0020\u0020return\u0020np.concatenate([[START],\u0020f[:-1,\u0020START]])
-
-
-def\u0020_units(text:\u0020str,\u0020marks:\u0020list[tuple[int,\u0020int]])\u0020->\u0020list[tuple[int,\u0020int]]:
-\u0020\u0020\u0020\u0020"""Spans\u0020of\u0020marks\u0020that\u0020hold\u0020a\u0020letter\u0020or\u0020digit;\u0020a\u0020unit\u0020left\u0020open\u0020ends\u0020with\u0020the\u0020text."""
-\u0020\u0020\u0020\u0020out,\u0020start\u0020=\u0020[],\u0020None
-\u0020\u0020\u0020\u0020for\u0020at,\u0020begins\u0020in\u0020marks:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020if\u0020begins:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020start\u0020=\u0020at
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020elif\u0020start\u0020is\u0020not\u0020None:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out.append((start,\u0020at))
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020start\u0020=\u0020None
-\u0020\u0020\u0020\u0020if\u0020start\u0020is\u0020not\u0020None:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out.append((start,\u0020_end_before(text,\u0020len(text))))
-\u0020\u0020\u0020\u0020return\u0020[(a,\u0020b)\u0020for\u0020a,\u0020b\u0020in\u0020out\u0020if\u0020any(c.isalnum()\u0020for\u0020c\u0020in\u0020text[a:b])]
-
-
-def\u0020units(text:\u0020str)\u0020->\u0020list[tuple[int,\u0020int]]:
-\u0020\u0020\u0020\u0020"""The\u0020sentence\u0020units\u0020of\u0020a\u0020text."""
-\u0020\u0020\u0020\u0020return\u0020_units(text,\u0020read(text,\u0020symbols(text))[1])
-
-
-UNIT\u0020=\u0020"doc_id\u0020long,\u0020start_char\u0020long,\u0020end_char\u0020long"
-
-
-def\u0020sentence_units(documents:\u0020DataFrame,\u0020doc_id:\u0020str\u0020=\u0020"doc_id",\u0020text:\u0020str\u0020=\u0020"text",\u0020chunk_chars:\u0020int\u0020=\u00201\u0020<<\u002016)\u0020->\u0020DataFrame:
-\u0020\u0020\u0020\u0020"""One\u0020row\u0020per\u0020unit:\u0020`doc_id,\u0020start_char,\u0020end_char`,\u0020code\u0020points\u0020from\u00200,\u0020end\u0020exclusive.
-
-\u0020\u0020\u0020\u0020Texts\u0020of\u0020up\u0020to\u0020`chunk_chars`\u0020are\u0020read\u0020whole\u0020where\u0020they\u0020lie.\u0020Longer\u0020ones\u0020are\u0020cut\u0020into\u0020chunks\u0020that\u0020tasks\u0020read\u0020apart:\u0020first
-\u0020\u0020\u0020\u0020for\u0020their\u0020functions,\u0020of\u0020which\u0020a\u0020text\u0020has\u0020one\u0020small\u0020array\u0020per\u0020chunk,\u0020then,\u0020from\u0020the\u0020scanned\u0020states,\u0020for\u0020their\u0020units.\u0020Null\u0020and
-\u0020\u0020\u0020\u0020blank\u0020texts,\u0020and\u0020units\u0020without\u0020a\u0020letter\u0020or\u0020digit,\u0020give\u0020no\u0020rows.\u0020Repeated\u0020ids\u0020give\u0020the\u0020rows\u0020of\u0020each\u0020text;\u0020of\u0020long
-\u0020\u0020\u0020\u0020texts\u0020with\u0020one\u0020id,\u0020those\u0020that\u0020are\u0020alike\u0020count\u0020once.
-\u0020\u0020\u0020\u0020"""
-\u0020\u0020\u0020\u0020docs\u0020=\u0020documents.select(F.col(doc_id).cast("long").alias("doc_id"),\u0020F.col(text).cast("string").alias("text")).where("text\u0020IS\u0020NOT\u0020NULL")
-
-\u0020\u0020\u0020\u0020def\u0020whole(batches):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020batch\u0020in\u0020batches:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ids,\u0020starts,\u0020ends\u0020=\u0020[],\u0020[],\u0020[]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020d,\u0020t\u0020in\u0020zip(*(c.to_pylist()\u0020for\u0020c\u0020in\u0020batch.columns),\u0020strict=True):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020a,\u0020b\u0020in\u0020units(t):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ids.append(d)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020starts.append(a)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ends.append(b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020yield\u0020pa.record_batch([pa.array(x,\u0020pa.int64())\u0020for\u0020x\u0020in\u0020(ids,\u0020starts,\u0020ends)],\u0020names=["doc_id",\u0020"start_char",\u0020"end_char"])
-
-\u0020\u0020\u0020\u0020short\u0020=\u0020docs.where(F.length("text")\u0020<=\u0020chunk_chars).mapInArrow(whole,\u0020UNIT)
-\u0020\u0020\u0020\u0020long\u0020=\u0020docs.where(F.length("text")\u0020>\u0020chunk_chars).withColumn("digest",\u0020F.xxhash64("text")).dropDuplicates(["doc_id",\u0020"digest"])
-\u0020\u0020\u0020\u0020begin\u0020=\u0020F.explode(F.sequence(F.lit(0).cast("long"),\u0020F.length("text").cast("long")\u0020-\u00201,\u0020F.lit(chunk_chars).cast("long")))
-\u0020\u0020\u0020\u0020chunks\u0020=\u0020long.select("doc_id",\u0020"digest",\u0020"text",\u0020begin.alias("begin")).select(
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020"doc_id",\u0020"digest",\u0020"begin",\u0020F.greatest(F.lit(0).cast("long"),\u0020F.col("begin")\u0020-\u0020CONTEXT).alias("base"),
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020F.expr(f"substring(text,\u0020int(greatest(0,\u0020begin\u0020-\u0020{CONTEXT})\u0020+\u00201),\u0020int(begin\u0020-\u0020greatest(0,\u0020begin\u0020-\u0020{CONTEXT})\u0020+\u0020{chunk_chars\u0020+\u0020CONTEXT}))").alias("part"),
-\u0020\u0020\u0020\u0020).repartition("doc_id",\u0020"digest",\u0020"begin")\u0020\u0020#\u0020fmt:\u0020skip
-
-\u0020\u0020\u0020\u0020def\u0020tokens_of(part:\u0020str,\u0020begin:\u0020int,\u0020base:\u0020int)\u0020->\u0020list[tuple[int,\u0020int,\u0020int]]:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020lead\u0020=\u0020begin\u0020-\u0020base
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020return\u0020_whole_tokens(part,\u0020lead,\u0020min(len(part),\u0020lead\u0020+\u0020chunk_chars),\u0020first=base\u0020==\u00200\u0020and\u0020begin\u0020==\u00200)
-
-\u0020\u0020\u0020\u0020def\u0020functions(batches):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020batch\u0020in\u0020batches:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020d,\u0020g,\u0020begins,\u0020bases,\u0020parts\u0020=\u0020(c.to_pylist()\u0020for\u0020c\u0020in\u0020batch.columns)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020f\u0020=\u0020[function(tokens_of(p,\u0020a,\u0020z)).tolist()\u0020for\u0020p,\u0020a,\u0020z\u0020in\u0020zip(parts,\u0020begins,\u0020bases,\u0020strict=True)]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020yield\u0020pa.record_batch([pa.array(d,\u0020pa.int64()),\u0020pa.array(g,\u0020pa.int64()),\u0020pa.array(begins,\u0020pa.int64()),\u0020pa.array(f,\u0020pa.list_(pa.int32()))],\u0020names=["doc_id",\u0020"digest",\u0020"begin",\u0020"f"])
-
-\u0020\u0020\u0020\u0020made\u0020=\u0020chunks.mapInArrow(functions,\u0020"doc_id\u0020long,\u0020digest\u0020long,\u0020begin\u0020long,\u0020f\u0020array<int>")
-\u0020\u0020\u0020\u0020lists\u0020=\u0020made.groupBy("doc_id",\u0020"digest").agg(F.sort_array(F.collect_list(F.struct("begin",\u0020"f"))).alias("fs"))
-
-\u0020\u0020\u0020\u0020def\u0020scanned(batches):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020batch\u0020in\u0020batches:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out\u0020=\u0020[]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020d,\u0020g,\u0020fs\u0020in\u0020zip(*(c.to_pylist()\u0020for\u0020c\u0020in\u0020batch.columns),\u0020strict=True):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out\u0020+=\u0020[(d,\u0020g,\u0020x["begin"],\u0020int(s))\u0020for\u0020x,\u0020s\u0020in\u0020zip(fs,\u0020scan(np.array([x["f"]\u0020for\u0020x\u0020in\u0020fs])),\u0020strict=True)]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020yield\u0020pa.record_batch([pa.array(c,\u0020pa.int64())\u0020for\u0020c\u0020in\u0020(zip(*out,\u0020strict=True)\u0020if\u0020out\u0020else\u0020[[]]\u0020*\u00204)],\u0020names=["doc_id",\u0020"digest",\u0020"begin",\u0020"state"])
-
-\u0020\u0020\u0020\u0020states\u0020=\u0020lists.mapInArrow(scanned,\u0020"doc_id\u0020long,\u0020digest\u0020long,\u0020begin\u0020long,\u0020state\u0020long")
-
-\u0020\u0020\u0020\u0020def\u0020marks(batches):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020batch\u0020in\u0020batches:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out\u0020=\u0020[]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020d,\u0020g,\u0020begin,\u0020base,\u0020part,\u0020state\u0020in\u0020zip(*(c.to_pylist()\u0020for\u0020c\u0020in\u0020batch.columns),\u0020strict=True):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020_,\u0020found\u0020=\u0020read(part,\u0020tokens_of(part,\u0020begin,\u0020base),\u0020state)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020out\u0020+=\u0020[(d,\u0020g,\u0020base\u0020+\u0020at,\u0020kind)\u0020for\u0020at,\u0020kind\u0020in\u0020found]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020yield\u0020pa.record_batch([pa.array(c,\u0020pa.int64())\u0020for\u0020c\u0020in\u0020(zip(*out,\u0020strict=True)\u0020if\u0020out\u0020else\u0020[[]]\u0020*\u00204)],\u0020names=["doc_id",\u0020"digest",\u0020"at",\u0020"begins"])
-
-\u0020\u0020\u0020\u0020found\u0020=\u0020chunks.join(states,\u0020["doc_id",\u0020"digest",\u0020"begin"]).select("doc_id",\u0020"digest",\u0020"begin",\u0020"base",\u0020"part",\u0020"state").mapInArrow(marks,\u0020"doc_id\u0020long,\u0020digest\u0020long,\u0020at\u0020long,\u0020begins\u0020long")
-\u0020\u0020\u0020\u0020#\u0020A\u0020start\u0020is\u0020followed\u0020by\u0020its\u0020end,\u0020in\u0020order\u0020of\u0020position;\u0020an\u0020end\u0020comes\u0020before\u0020a\u0020start\u0020at\u0020the\u0020same\u0020place.\u0020The\u0020text's\u0020end\u0020closes\u0020the\u0020last.
-\u0020\u0020\u0020\u0020ordered\u0020=\u0020F.sort_array(F.collect_list(F.struct("at",\u0020"begins")))
-\u0020\u0020\u0020\u0020spans\u0020=\u0020found.groupBy("doc_id",\u0020"digest").agg(ordered.alias("marks")).join(long,\u0020["doc_id",\u0020"digest"])
-
-\u0020\u0020\u0020\u0020def\u0020close(batches):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020batch\u0020in\u0020batches:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ids,\u0020starts,\u0020ends\u0020=\u0020[],\u0020[],\u0020[]
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020d,\u0020ms,\u0020t\u0020in\u0020zip(*(c.to_pylist()\u0020for\u0020c\u0020in\u0020batch.columns),\u0020strict=True):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020for\u0020a,\u0020b\u0020in\u0020_units(t,\u0020[(m["at"],\u0020m["begins"])\u0020for\u0020m\u0020in\u0020ms]):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ids.append(d)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020starts.append(a)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020ends.append(b)
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020yield\u0020pa.record_batch([pa.array(x,\u0020pa.int64())\u0020for\u0020x\u0020in\u0020(ids,\u0020starts,\u0020ends)],\u0020names=["doc_id",\u0020"start_char",\u0020"end_char"])
-
-\u0020\u0020\u0020\u0020return\u0020short.unionByName(spans.select("doc_id",\u0020"marks",\u0020"text").mapInArrow(close,\u0020UNIT))
-
-
-def\u0020_whole_tokens(part:\u0020str,\u0020begin:\u0020int,\u0020end:\u0020int,\u0020first:\u0020bool)\u0020->\u0020list[tuple[int,\u0020int,\u0020int]]:
-\u0020\u0020\u0020\u0020"""Tokens\u0020that\u0020begin\u0020in\u0020part[begin:end].\u0020A\u0020token\u0020that\u0020a\u0020cut\u0020would\u0020divide\u0020is\u0020read\u0020from\u0020where\u0020it\u0020begins,\u0020by\u0020the\u0020chunk\u0020it
-\u0020\u0020\u0020\u0020begins\u0020in:\u0020reading\u0020starts\u0020at\u0020the\u0020last\u0020line\u0020end\u0020or\u0020blank\u0020before\u0020the\u0020cut,\u0020and\u0020earlier\u0020tokens\u0020are\u0020dropped."""
-\u0020\u0020\u0020\u0020start\u0020=\u0020begin
-\u0020\u0020\u0020\u0020while\u0020start\u0020>\u00200\u0020and\u0020begin\u0020-\u0020start\u0020<\u0020CONTEXT\u0020//\u00202\u0020and\u0020not\u0020(part[start].isspace()\u0020and\u0020not\u0020part[start\u0020-\u00201].isspace()):
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020start\u0020-=\u00201
-\u0020\u0020\u0020\u0020if\u0020first:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020start\u0020=\u00200
-\u0020\u0020\u0020\u0020tokens\u0020=\u0020symbols(part,\u0020start,\u0020end)\u0020if\u0020start\u0020or\u0020first\u0020else\u0020symbols("\u0020"\u0020+\u0020part,\u00201,\u0020end\u0020+\u00201)
-\u0020\u0020\u0020\u0020if\u0020not\u0020start\u0020and\u0020not\u0020first:
-\u0020\u0020\u0020\u0020\u0020\u0020\u0020\u0020tokens\u0020=\u0020[(s,\u0020a\u0020-\u00201,\u0020b\u0020-\u00201)\u0020for\u0020s,\u0020a,\u0020b\u0020in\u0020tokens]
-\u0020\u0020\u0020\u0020return\u0020[t\u0020for\u0020t\u0020in\u0020tokens\u0020if\u0020begin\u0020<=\u0020t[1]\u0020<\u0020end\u0020or\u0020first\u0020and\u0020t[1]\u0020==\u00200]
+EITHER = set("""etc usw usf ff a.m p.m am pm min mins std sek sec h u.a κτλ κ.λπ κ.ά π.μ μ.μ jr inc ltd co corp uds ee.uu إلخ""".split())
+#: German words before a number with a stop that is an ordinal; months after one.
+BEFORE_ORDINAL = set("im am vom zum zur der die das dem den des beim ab bis seit jeder jede jedes jedem ins auf".split())
+MONTHS = set("januar jänner februar märz april mai juni juli august september oktober november dezember jan jan. feb. febr. mär. apr. aug. sept. okt. nov. dez.".split())
+
+BLANK = r"\s\u200b\u2060\ufeff"
+STOPS = ".!?…。！？｡।॥؟;\u037e"
+PAIRS = ("«»", "“”", "„“", "„”", "「」", "『』", "‹›", '""', "»«")
+QUOTES = "".join(sorted({c for p in PAIRS for c in p}))
+THAI = r"฀-๿"
+CJK = r"぀-ヿ㐀-䶿一-鿿豈-﫿"
+LINE_END = r"(?:\r\n|[\r\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
+_PLAIN = f"[^{re.escape(STOPS + QUOTES)}\r\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029{{}}]"
+_TOKEN = rf"(?P<line>[{BLANK}]*{LINE_END}[{BLANK}]*)|(?P<stop>[{re.escape(STOPS)}]+)|(?P<quote>[{re.escape(QUOTES)}])"
+TOKEN = re.compile(rf"{_TOKEN}|(?P<text>{_PLAIN.format('')}+)")
+TOKEN_THAI = re.compile(rf"{_TOKEN}|(?P<text>{_PLAIN.format(BLANK)}+)|(?P<blank>[{BLANK}]+)")
+HAS_THAI = re.compile(f"[{THAI}]")
+FIRST = re.compile(rf"[^{BLANK}]")
+CLOSERS = re.compile(r"[)\]}）］】〉》’'”»]*")
+LINES = re.compile(LINE_END)
+BULLET = re.compile(rf"(?:[-–—•*·・▪◦‣►■□○●✓✔][{BLANK}]|[・•])")
+NUMBERED = re.compile(rf"\(?(?:\d{{1,3}}|[a-zA-Z]|[ivx]{{1,5}})(?:\)[{BLANK}]|[、．])|[①-⑳]")
+POINTED = re.compile(rf"\d{{1,3}}\.[{BLANK}]+\S")
+LAST_WORD = re.compile(r"[^\W_]+(?:[.\-'’][^\W_]+)*$")
+ENDING = re.compile(rf"[.!?…。！？｡।॥؟][{re.escape(QUOTES)}’')\]）]*$")
+
+SYMBOLS = ["text", "stop", "hard", "break", "list", "thai", *(f"{k}{i}" for i in range(len(PAIRS)) for k in ("open", "close", "last"))]
+SYMBOL = {s: k for k, s in enumerate(SYMBOLS)}
+#: Unit open, quotation open (0 none), it began the unit, line of a list.
+STATES = [s for s in product((0, 1), range(len(PAIRS) + 1), (0, 1), (0, 1)) if s[1] or not s[2]]
+STATE = {s: k for k, s in enumerate(STATES)}
+START, STARTS, ENDS_BEFORE, ENDS_AFTER = STATE[0, 0, 0, 0], 1, 2, 4
+
+
+def _step(state: tuple, symbol: str) -> tuple[tuple, int]:
+    """The rules: what a symbol does in a state."""
+    is_open, quote, first, listed = state
+    if symbol in ("hard", "break"):
+        return (0, 0, 0, 0), ENDS_BEFORE * is_open
+    if symbol == "list":
+        return (0, 0, 0, 1), ENDS_BEFORE * is_open
+    if symbol == "thai":
+        return ((0, 0, 0, 0), ENDS_BEFORE) if is_open and not quote and not listed else (state, 0)
+    begins = STARTS * (1 - is_open)
+    if symbol[:-1] == "open" and not quote:
+        return (1, int(symbol[-1]) + 1, 1 - is_open, listed), begins
+    if symbol[:-1] in ("close", "last") and quote == int(symbol[-1]) + 1:
+        ends = symbol[:-1] == "last" and not first and not listed
+        return ((0, 0, 0, 0), ENDS_AFTER) if ends else ((1, 0, 0, listed), 0)
+    if symbol == "stop" and is_open and not quote and not listed:
+        return (0, 0, 0, 0), ENDS_AFTER
+    return (1, quote, first, listed), begins
+
+
+def _compile() -> tuple[np.ndarray, np.ndarray]:
+    made = [[_step(s, x) for x in SYMBOLS] for s in STATES]
+    return np.array([[STATE[s] for s, _ in row] for row in made], dtype=np.int16), np.array([[o for _, o in row] for row in made], dtype=np.int8)
+
+
+NEXT, OUT = _compile()
+_NEXT, _OUT = NEXT.tolist(), OUT.tolist()
+
+
+def _word_before(text: str, at: int) -> str:
+    """The word, with inner stops, that ends at a stop."""
+    m = LAST_WORD.search(text, max(0, at - 40), at)
+    return m[0] if m else ""
+
+
+def _like_start(text: str, at: int) -> bool:
+    """Whether what stands at a position can begin a sentence: no lower-case word, but a name of a file may."""
+    c = text[at]
+    if c.islower():
+        m = re.compile(r"[^\s]+").match(text, at, at + 60)
+        return bool(re.match(r"[^\W\d_]+\d+_|\w+_\w+\.\w", m[0]))
+    return c.isalnum() or c in "¿¡([（【#§" + QUOTES
+
+
+def _is_stop(text: str, a: int, b: int) -> bool:
+    """Whether the stops text[a:b] end a sentence if no quotation holds them."""
+    mark, size = text[a:b], len(text)
+    if set(mark) & set("。！？｡।॥؟"):
+        return True
+    before = text[a - 1] if a else " "
+    m = FIRST.search(text, b, min(size, b + 200))
+    follows = m.start() if m else size
+    if ";" in mark or "\u037e" in mark:  # the Greek question mark
+        return bool(re.match(r"[Ͱ-Ͽἀ-῿]", before)) and (follows > b or follows == size) and set(mark) <= set(";\u037e!?")
+    if "!" in mark or "?" in mark:
+        return follows > b or follows >= size or text[b].isupper() or bool(re.match(f"[{CJK}{QUOTES}¿¡)’']", text[b]))
+    if "…" in mark or len(mark) > 1:  # dots of omission
+        if follows >= size:
+            return True
+        word = text[follows : follows + 2]
+        return follows > b and word[0].isupper() and word[1:].islower()
+    if follows >= size and not m:
+        return True
+    if follows == b:  # no blank
+        if text[b].isupper() and b + 1 < size and text[b + 1].islower():
+            word = _word_before(text, a)
+            return (len(word) > 2 or word.isdigit()) and "." not in word and word.lower() not in INSIDE
+        return text[b] in ")]’'”»" and _after_closers(text, b)
+    if re.match(r"[ऀ-෿]", before):  # these scripts end sentences with a danda
+        return False
+    word = _word_before(text, a)
+    low = word.lower()
+    if not word:
+        return not before.isspace()
+    if low == "no":  # the answer, or a number's sign
+        return _begins(text, a - 2) or not text[follows].isdigit() and _like_start(text, follows)
+    if len(word) == 1 and word.isupper():
+        return False
+    if low in EITHER or low.rpartition(".")[2] in ("m", "μ") and _meridiem(text, a):
+        return _like_start(text, follows)
+    if low in INSIDE or low in ("b", "h", "d", "z", "ex", "ej", "à-d", "uu"):
+        return False
+    if len(word) == 1 and word.isalpha():
+        return False
+    if "." in word and all(len(x) <= 2 for x in word.split(".")) and not word[-1].isdigit():
+        return False
+    if word.isdigit() and len(word) <= 2:
+        if re.compile(r"\d{1,2}\.\s?\d{2,4}\b").match(text, follows):
+            return False
+        next_word = re.compile(r"[^\W\d_]+\.?").match(text, follows)
+        earlier = _word_before(text, _end_before(text, a - len(word)))
+        if next_word and (next_word[0].lower() in MONTHS or earlier.lower() in BEFORE_ORDINAL and _german(text, follows)):
+            return False
+    return True
+
+
+def _end_before(text: str, at: int) -> int:
+    """The end of what isn't blank before a position."""
+    while at > 0 and (text[at - 1].isspace() or text[at - 1] in "\u200b\u2060\ufeff"):
+        at -= 1
+    return at
+
+
+def _german(text: str, at: int) -> bool:
+    m = re.compile(r"[^\W\d_]+").match(text, at, at + 40)
+    return bool(m) and m[0][0].isupper()
+
+
+def _meridiem(text: str, a: int) -> bool:
+    return bool(re.search(r"(?:\b[ap]\. ?m|[πμ]\. ?μ)$", text[max(0, a - 6) : a]))
+
+
+def _begins(text: str, at: int) -> bool:
+    """Whether a position begins a text, a line or the words after a stop."""
+    end = _end_before(text, at)
+    return end == 0 or bool(LINES.search(text, end, at)) or text[end - 1] in STOPS + QUOTES
+
+
+def _after_closers(text: str, b: int) -> bool:
+    e = CLOSERS.match(text, b).end()
+    m = FIRST.search(text, e, min(len(text), e + 200))
+    return not m or m.start() > e and _like_start(text, m.start())
+
+
+def _line_symbol(text: str, a: int, b: int) -> str | None:
+    """What the blanks text[a:b], which hold line ends, do; None if they only wrap a line."""
+    start = max((m.end() for m in LINES.finditer(text, max(0, a - 400), a)), default=max(0, a - 400))
+    line = text[start:a].strip()
+    n_breaks = len(LINES.findall(text, a, b))
+    after = text[b : b + 200]
+    after = after[: m.start()] if (m := LINES.search(after)) else after
+    if not line or not after.strip():
+        return "hard"
+    ended = bool(ENDING.search(line)) and (line[-1] != "." or _is_stop(text, a - 1, a) or line[-2:-1] == ".")
+    room = len(line) + 1 + len(after.split()[0])
+    long = len(line) >= 40 and room >= WRAPPED
+    unfinished = long and not ended and not _is_list(line) and not HAS_THAI.search(line)
+    if BULLET.match(after) and not (unfinished and n_breaks < 2) or NUMBERED.match(after) and not (unfinished and n_breaks < 2 and after[0].isalpha()):
+        return "list"
+    if POINTED.match(after) and (n_breaks > 1 or not unfinished) and len(after) < 60 and not ENDING.search(after.strip()):
+        return "list"
+    if n_breaks > 1:
+        return "hard"
+    if _is_list(line) and len(line) < 60:
+        return "break"
+    if ended:
+        return None  # the stop itself decides
+    if re.search(f"[{CJK}]$", line) and re.match(f"[{CJK}「『“]", after):
+        return "break" if len(line) < 25 else None
+    if re.search(f"[{THAI}]", line):
+        return _thai(text, a, b) if re.search(f"[{THAI}]$", line) or not len(line) < 30 else "break"
+    if after[0].islower() and not re.match(r"[a-z]\d+_", after):
+        return None if long or len(line) > 12 else "break"
+    if not long or len(line) > 95 and not after[0].isdigit():
+        return "break"
+    return None
+
+
+def _is_list(line: str) -> bool:
+    return bool(BULLET.match(line) or NUMBERED.match(line) or POINTED.match(line) and len(line) < 60 and not ENDING.search(line))
+
+
+def _thai(text: str, a: int, b: int) -> str | None:
+    """Thai ends its sentences with a blank; one beside a number, a sign or an abbreviation ends none."""
+    before = re.search(r"\S*$", text[max(0, a - 60) : a])[0]
+    after = re.compile(r"\S*").match(text, b, b + 60)[0]
+    if not re.search(f"[{THAI}]$", before) or re.search(r"[\d๐-๙.]", before) or not after or after[0] == "ๆ":
+        return None
+    if re.match(f"[{THAI}]", after):
+        return None if "." in after or re.search(r"^[๐-๙]", after) else "thai"
+    if after[0].isdigit():  # a number belongs to the script after it
+        beyond = re.compile(r"[\d.,:]+[^\S\r\n]*([^\W\d_])").match(text, b, b + 60)
+        return "thai" if beyond and not HAS_THAI.match(beyond[1]) else None
+    return "thai" if after[0].isalpha() and not after[0].islower() or after[0] in "¿¡" + QUOTES else None
+
+
+def _quote_symbol(text: str, a: int) -> str:
+    """The part that a quotation mark plays, if its partner stands near in the same paragraph; else it is text."""
+    c, size = text[a], len(text)
+    before = text[a - 1] if a else " "
+    opens = a + 1 < size and (c != '"' or (before.isspace() or before in "([（¿¡—–'’" or bool(re.match(f"[{CJK}]", before))) and not text[a + 1].isspace())
+    if opens:
+        paragraph = re.compile(rf"{LINE_END}[ \t]*{LINE_END}").search(text, a, min(size, a + QUOTED))
+        limit = paragraph.start() if paragraph else min(size, a + QUOTED)
+        found = [(e, i) for i, p in enumerate(PAIRS) if p[0] == c and (e := text.find(p[1], a + 1, limit)) > 0]
+        if c == "»":  # opens only in the German manner, at a word's beginning
+            found = [x for x in found if (before.isspace() or not a) and not text[a + 1].isspace() and text.rfind("«", max(0, a - QUOTED), a) <= text.rfind("»", max(0, a - QUOTED), a)]
+        if found:
+            return f"open{min(found)[1]}"
+    own = [i for i, p in enumerate(PAIRS) if p[1] == c]
+    return f"close{own[0]}" if own else "text"
+
+
+def symbols(text: str, begin: int = 0, end: int | None = None) -> list[tuple[int, int, int]]:
+    """(symbol, start, stop) of the tokens that begin in text[begin:end]; the text around serves as context."""
+    end = len(text) if end is None else end
+    out = []
+    thai = bool(HAS_THAI.search(text))
+    add = lambda s, a, b: out.append((SYMBOL[s], a, b))
+    if begin == 0 and (m := FIRST.search(text)) and _is_list(text[m.start() : m.start() + 60].split("\n")[0]):
+        add("list", 0, 0)
+    at = begin
+    pattern = TOKEN_THAI if thai else TOKEN
+    while at < end:
+        m = pattern.match(text, at)
+        if not m:
+            at += 1
+            continue
+        at, kind = m.end(), m.lastgroup
+        a, b = m.span()
+        if kind == "text":
+            first = FIRST.search(text, a, b)
+            if first:
+                add("text", first.start(), _end_before(text, b))
+        elif kind == "line":
+            if s := _line_symbol(text, a, b):
+                add(s, a, b)
+        elif kind == "blank":
+            if s := _thai(text, a, b):
+                add(s, a, b)
+        elif kind == "stop":
+            if _is_stop(text, a, b):
+                e = CLOSERS.match(text, b).end() if text[b : b + 1] not in QUOTES else b
+                add("stop", a, e)
+                at = max(b, e)
+            else:
+                add("text", a, b)
+        else:
+            s = _quote_symbol(text, a)
+            if s[:5] == "close":
+                for i, p in enumerate(PAIRS):
+                    if p[1] == text[a]:
+                        add(f"{'last' if _last(text, a) else 'close'}{i}", a, b)
+            else:
+                add(s, a, b)
+    return out
+
+
+def _last(text: str, a: int) -> bool:
+    """Whether a closing mark after a stop ends the sentence, if the quotation didn't begin it."""
+    inside = _end_before(text, a)
+    if not inside or text[inside - 1] not in STOPS or text[inside - 1] == ";":
+        return False
+    m = FIRST.search(text, a + 1, min(len(text), a + 200))
+    if not m:
+        return True
+    if re.match(f"[{CJK}]", text[m.start()]):
+        return not re.match(r"(?:と|って|という|との|とか|を|に|が|は|の|も|で|等|など)", text[m.start() : m.start() + 2])
+    return _like_start(text, m.start()) and text[m.start()] not in "(["
+
+
+def read(text: str, tokens: list[tuple[int, int, int]], state: int = START) -> tuple[int, list[tuple[int, int]]]:
+    """The state after tokens and the marks of units: (position, 1) for a start, (position, 0) for an end."""
+    marks = []
+    for symbol, a, b in tokens:
+        out = _OUT[state][symbol]
+        state = _NEXT[state][symbol]
+        if out & ENDS_BEFORE:
+            marks.append((_end_before(text, a), 0))
+        if out & STARTS:
+            marks.append((a, 1))
+        if out & ENDS_AFTER:
+            marks.append((b, 0))
+    return state, marks
+
+
+def function(tokens: list[tuple[int, int, int]]) -> np.ndarray:
+    """A chunk as the state after it for each state before it."""
+    state = np.arange(len(STATES))
+    for symbol, _, _ in tokens:
+        state = NEXT[state, symbol]
+    return state
+
+
+def scan(functions: np.ndarray) -> np.ndarray:
+    """The state before each chunk, from the chunks' functions, by a prefix scan of compositions in log steps."""
+    f, step = np.array(functions), 1
+    while step < len(f):
+        f[step:] = np.take_along_axis(f[step:], f[:-step], axis=1)
+        step *= 2
+    return np.concatenate([[START], f[:-1, START]])
+
+
+def _units(text: str, marks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of marks that hold a letter or digit; a unit left open ends with the text."""
+    out, start = [], None
+    for at, begins in marks:
+        if begins:
+            start = at
+        elif start is not None:
+            out.append((start, at))
+            start = None
+    if start is not None:
+        out.append((start, _end_before(text, len(text))))
+    return [(a, b) for a, b in out if any(c.isalnum() for c in text[a:b])]
+
+
+def units(text: str) -> list[tuple[int, int]]:
+    """The sentence units of a text."""
+    return _units(text, read(text, symbols(text))[1])
+
+
+UNIT = "doc_id long, start_char long, end_char long"
+
+
+def sentence_units(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_chars: int = 1 << 16) -> DataFrame:
+    """One row per unit: `doc_id, start_char, end_char`, code points from 0, end exclusive.
+
+    Texts of up to `chunk_chars` are read whole where they lie. Longer ones are cut into chunks that tasks read apart: first
+    for their functions, of which a text has one small array per chunk, then, from the scanned states, for their units. Null and
+    blank texts, and units without a letter or digit, give no rows. Repeated ids give the rows of each text; of long
+    texts with one id, those that are alike count once.
+    """
+    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
+
+    def whole(batches):
+        for batch in batches:
+            ids, starts, ends = [], [], []
+            for d, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for a, b in units(t):
+                    ids.append(d)
+                    starts.append(a)
+                    ends.append(b)
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in (ids, starts, ends)], names=["doc_id", "start_char", "end_char"])
+
+    short = docs.where(F.length("text") <= chunk_chars).mapInArrow(whole, UNIT)
+    long = docs.where(F.length("text") > chunk_chars).withColumn("digest", F.xxhash64("text")).dropDuplicates(["doc_id", "digest"])
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.length("text").cast("long") - 1, F.lit(chunk_chars).cast("long")))
+    chunks = long.select("doc_id", "digest", "text", begin.alias("begin")).select(
+        "doc_id", "digest", "begin", F.greatest(F.lit(0).cast("long"), F.col("begin") - CONTEXT).alias("base"),
+        F.expr(f"substring(text, int(greatest(0, begin - {CONTEXT}) + 1), int(begin - greatest(0, begin - {CONTEXT}) + {chunk_chars + CONTEXT}))").alias("part"),
+    ).repartition("doc_id", "digest", "begin")
+
+    def tokens_of(part: str, begin: int, base: int) -> list[tuple[int, int, int]]:
+        lead = begin - base
+        return _whole_tokens(part, lead, min(len(part), lead + chunk_chars), first=base == 0 and begin == 0)
+
+    def functions(batches):
+        for batch in batches:
+            d, g, begins, bases, parts = (c.to_pylist() for c in batch.columns)
+            f = [function(tokens_of(p, a, z)).tolist() for p, a, z in zip(parts, begins, bases, strict=True)]
+            yield pa.record_batch([pa.array(d, pa.int64()), pa.array(g, pa.int64()), pa.array(begins, pa.int64()), pa.array(f, pa.list_(pa.int32()))], names=["doc_id", "digest", "begin", "f"])
+
+    made = chunks.mapInArrow(functions, "doc_id long, digest long, begin long, f array<int>")
+    lists = made.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("begin", "f"))).alias("fs"))
+
+    def scanned(batches):
+        for batch in batches:
+            out = []
+            for d, g, fs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(d, g, x["begin"], int(s)) for x, s in zip(fs, scan(np.array([x["f"] for x in fs])), strict=True)]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["doc_id", "digest", "begin", "state"])
+
+    states = lists.mapInArrow(scanned, "doc_id long, digest long, begin long, state long")
+
+    def marks(batches):
+        for batch in batches:
+            out = []
+            for d, g, begin, base, part, state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, found = read(part, tokens_of(part, begin, base), state)
+                out += [(d, g, base + at, kind) for at, kind in found]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["doc_id", "digest", "at", "begins"])
+
+    found = chunks.join(states, ["doc_id", "digest", "begin"]).select("doc_id", "digest", "begin", "base", "part", "state").mapInArrow(marks, "doc_id long, digest long, at long, begins long")
+    # A start is followed by its end, in order of position; an end comes before a start at the same place. The text's end closes the last.
+    ordered = F.sort_array(F.collect_list(F.struct("at", "begins")))
+    spans = found.groupBy("doc_id", "digest").agg(ordered.alias("marks")).join(long, ["doc_id", "digest"])
+
+    def close(batches):
+        for batch in batches:
+            ids, starts, ends = [], [], []
+            for d, ms, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for a, b in _units(t, [(m["at"], m["begins"]) for m in ms]):
+                    ids.append(d)
+                    starts.append(a)
+                    ends.append(b)
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in (ids, starts, ends)], names=["doc_id", "start_char", "end_char"])
+
+    return short.unionByName(spans.select("doc_id", "marks", "text").mapInArrow(close, UNIT))
+
+
+def _whole_tokens(part: str, begin: int, end: int, first: bool) -> list[tuple[int, int, int]]:
+    """Tokens that begin in part[begin:end]. A token that a cut would divide is read from where it begins, by the chunk it
+    begins in: reading starts at the last line end or blank before the cut, and earlier tokens are dropped."""
+    start = begin
+    while start > 0 and begin - start < CONTEXT // 2 and not (part[start].isspace() and not part[start - 1].isspace()):
+        start -= 1
+    if first:
+        start = 0
+    tokens = symbols(part, start, end) if start or first else symbols(" " + part, 1, end + 1)
+    if not start and not first:
+        tokens = [(s, a - 1, b - 1) for s, a, b in tokens]
+    return [t for t in tokens if begin <= t[1] < end or first and t[1] == 0]
