@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-NAMES = ("sentence_queries",)
+NAMES = ("split_queries", "packing_queries", "leakage_queries", "sentence_queries")
 
 
 def modules() -> list:
