@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import scan_key, subject_key
 from ..operators import orphans as op
 from ..session import table
+from . import sql
 
 
 def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -35,17 +36,15 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return op.orphan_report(p4_found(spark, d))
 
 
-_SUBJECT = r"nullif(regexp_extract(regexp_replace({0}, '[\s\x{{00A0}}\x{{FEFF}}]+', '', 'g'), '^0*([0-9]+)(?:[.,]0*)?$', 1), '')"
-_SCAN = r"nullif(regexp_replace(lower({0}), '^[\s\x{{00A0}}\x{{FEFF}}]+|(?:[\s\x{{00A0}}\x{{FEFF}}]|\.pdf|\.tif)+$', '', 'g'), '')"
 _FOUND = f"""
 WITH refs AS (
-  SELECT 'combined_success_ids' AS table_name, row_id, {_SUBJECT.format('e3n_id_hand')} AS k, logged_at AS ts FROM combined_success_ids WHERE e3n_id_hand IS NOT NULL
-  UNION ALL SELECT 'progress', row_id, {_SUBJECT.format('id')}, created_at FROM progress WHERE id IS NOT NULL
-  UNION ALL SELECT 'doc_5', record_id, {_SCAN.format('object_name')}, exported_at FROM doc_5 WHERE object_name IS NOT NULL),
+  SELECT 'combined_success_ids' AS table_name, row_id, {sql.subject('e3n_id_hand')} AS k, logged_at AS ts FROM combined_success_ids WHERE e3n_id_hand IS NOT NULL
+  UNION ALL SELECT 'progress', row_id, {sql.subject('id')}, created_at FROM progress WHERE id IS NOT NULL
+  UNION ALL SELECT 'doc_5', record_id, {sql.scan('object_name')}, exported_at FROM doc_5 WHERE object_name IS NOT NULL),
 parents AS (
-  SELECT 'combined_success_ids' AS table_name, {_SUBJECT.format('id')} AS k, created_at AS b, removed_at AS e FROM progress
-  UNION ALL SELECT 'progress', {_SUBJECT.format('ident_projet')}, registered_at, withdrawn_at FROM covariates
-  UNION ALL SELECT 'doc_5', {_SCAN.format('object_name')}, received_at, removed_at FROM manifest),
+  SELECT 'combined_success_ids' AS table_name, {sql.subject('id')} AS k, created_at AS b, removed_at AS e FROM progress
+  UNION ALL SELECT 'progress', {sql.subject('ident_projet')}, registered_at, withdrawn_at FROM covariates
+  UNION ALL SELECT 'doc_5', {sql.scan('object_name')}, received_at, removed_at FROM manifest),
 held AS (
   SELECT r.table_name, r.row_id, r.ts, count(p.k) AS n, count(*) FILTER (WHERE p.b <= r.ts) AS begun,
          count(*) FILTER (WHERE p.b <= r.ts AND (p.e IS NULL OR p.e > r.ts)) AS alive
