@@ -16,8 +16,8 @@ YEAR = 365.25
 
 def day(c: Column) -> Column:
     """A date written like 05JAN1990 in any letter case; null if it can't be read."""
-    text = F.upper(F.trim(c))
-    return F.when(text.rlike(r"^\d{2}[A-Z]{3}\d{4}$"), F.try_to_date(F.initcap(F.lower(F.regexp_replace(text, r"(\d{2})([A-Z]{3})(\d{4})", "$1 $2 $3"))), "dd MMM yyyy"))
+    text = F.trim(c)
+    return F.when(F.length(text) == 9, F.try_to_date(text, "ddMMMyyyy"))
 
 
 def years(a: Column, b: Column) -> Column:

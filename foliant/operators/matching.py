@@ -27,16 +27,18 @@ def with_risk_time(df: DataFrame, entry: str = "dateq1", exit_: str = "exit_date
     at or after the exit; 0 if there is none.
     """
     least = F.broadcast(df.agg(F.min(birth).alias("_least")))
-    bits = sum((F.when(F.col(f"dateq{q}").isNotNull(), F.lit(1 << (q - 1))).otherwise(0) for q in range(1, waves + 1)), F.lit(0))
-    cutoff = F.coalesce(*(F.when(F.col(f"dateq{q}") >= F.col(exit_), F.lit(q)) for q in range(1, waves + 1)), F.lit(waves))
-    last = F.coalesce(*(F.when((F.lit(q) < F.col("_cutoff")) & F.col(f"dateq{q}").isNotNull(), F.lit(q)) for q in range(waves, 0, -1)), F.lit(0))
-    out = df.join(least).withColumns({
+    dates = F.array(*(F.col(f"dateq{q}") for q in range(1, waves + 1)))
+    every = F.sequence(F.lit(1), F.lit(waves))
+    bits = F.aggregate(every, F.lit(0).cast("long"), lambda a, q: a + F.when(F.get(F.col("_dates"), q - 1).isNotNull(), F.call_function("shiftleft", F.lit(1).cast("long"), q - 1)).otherwise(F.lit(0).cast("long")))
+    cutoff = F.coalesce(F.get(F.filter(every, lambda q: F.get(F.col("_dates"), q - 1) >= F.col(exit_)), F.lit(0)), F.lit(waves))
+    last = F.coalesce(F.array_max(F.filter(every, lambda q: (q < F.col("_cutoff")) & F.get(F.col("_dates"), q - 1).isNotNull())), F.lit(0))
+    out = df.join(least).withColumn("_dates", dates).withColumns({
         "follow_up_time": F.datediff(exit_, entry) / YEAR,
         "relative_age": F.bround(F.datediff(birth, "_least") / YEAR).cast("int"),
-        "available": bits.cast("long"),
+        "available": bits,
         "_cutoff": cutoff,
     })
-    return out.withColumn("last_q", last).drop("_least", "_cutoff")
+    return out.withColumn("last_q", last).drop("_least", "_cutoff", "_dates")
 
 
 def _rank(seed: int, case: Column, control: Column) -> Column:
