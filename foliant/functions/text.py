@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def compatible(s: pd.Series) -> pd.Series:
     """Unicode's compatibility form, which Spark lacks."""
     return s.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
@@ -43,7 +44,7 @@ def containment(a: Column, b: Column) -> Column:
     return F.when((F.size(x) == 0) & (F.size(y) == 0), 1.0).when(least == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / least)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching blocks, twice their length over both lengths; null if either is null."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

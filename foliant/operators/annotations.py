@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: The parts of an annotation page that are read. Attributes that are lists or single values are read as texts.
 PAGES = """array<struct<image:string, image_type:string, roi_type:string, censor_type:string, close_type:string,
-label:array<struct<x:double, y:double, width:double, height:double, rotation:double, rectanglelabels:array<string>, original_width:int, original_height:int>>>>"""
+label:array<struct<x:double, y:double, width:double, height:double, rotation:double, rectanglelabels:string, original_width:int, original_height:int>>>>"""
 #: Labels whose boxes take their sub-attribute from a list of the page.
 SUBTYPES = {"roi": "roi_type", "censor": "censor_type", "censor-close": "close_type", "censor_close": "close_type"}
 TASKS = """array<struct<data:struct<image:string>, annotations:array<struct<result:array<struct<type:string,
@@ -42,7 +42,7 @@ def regions(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row per box of pages: its geometry, first label, and the sub-attribute that stands at its place among the page's boxes
     of that label; null where the list is shorter."""
     rows = df.select(*keep, "page", *dict.fromkeys(SUBTYPES.values()), F.posexplode("label").alias("box_no", "b"))
-    rows = rows.withColumn("label", F.get(F.col("b.rectanglelabels"), F.lit(0)))
+    rows = rows.withColumn("label", F.get(as_list(F.col("b.rectanglelabels")), F.lit(0)))
     nth = F.row_number().over(Window.partitionBy(*keep, "page", "label").orderBy("box_no")) - 1
     rows = rows.withColumn("_n", nth)
     sub = F.coalesce(*(F.when(F.col("label") == k, F.get(F.col(c), F.col("_n"))) for k, c in SUBTYPES.items()))

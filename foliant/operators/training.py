@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .cohort import WAVES
 
 
@@ -64,7 +65,7 @@ def training_table(matched: DataFrame, subjects: DataFrame, exit_: str = "exit_d
     pattern up to the last wave is not the case's.
     """
     rows = matched.join(subjects.withColumnRenamed("id", "member_id"), "member_id")
-    rows = drop_flagged(rows, "flagged", "match_group", "case_control")
+    rows = cut(drop_flagged(rows, "flagged", "match_group", "case_control"))
     if split:
         rows = rows.join(assign_groups(rows, "match_group", seed=seed), "match_group", "left")
         rows = one_split_per_subject(rows, "member_id", "case_control", "match_group")

@@ -113,7 +113,7 @@ def training_table(spark, d):
     manifest = table(spark, d, "manifest").where("warning_censoring = 'large' AND warning_ordering = 'Second stage'").select(subject_key(F.col("e3n_id_hand")).alias("id")).distinct()
     patterns = wide.select("id", op.pattern("manifest").alias("rempli_pattern"), op.pattern("success").alias("grid_pattern"))
     subjects = _recoded(spark, d).select("id", "exit_date", *(f"dateq{q}" for q in range(1, 14))).join(patterns, "id").join(manifest.withColumn("flagged", F.lit(1)), "id", "left").fillna({"flagged": 0})
-    rows = training.training_table(_matched(spark, d, "exact_w_fallback"), subjects)
+    rows = training.training_table(cut(_matched(spark, d, "exact_w_fallback")), cut(subjects))
     return rows.select("unique_id", "split", "case_control", "last_q", "rempli_pattern", "case_pattern", "grid_pattern", "case_grid_pattern", "at_least_warning", *(F.round(f"case_dt_dateq{q}", 6).alias(f"case_dt_dateq{q}") for q in range(1, 14)))
 
 
@@ -199,7 +199,7 @@ _COHORT = f"SELECT *, coalesce({', '.join(f'CASE WHEN {q} < cut AND dateq{q} IS
 def _match(mode: str) -> str:
     fits = "exact" if mode == "exact" else "enough"
     tier = "CASE WHEN exact THEN 0 ELSE 1 END" if mode == "exact_w_fallback" else "0"
-    left = {"exact": "n_exact", "at_least": "n_at_least"}.get(mode, f"CASE WHEN n_exact >= {N} THEN n_exact ELSE least({N}, n_at_least) END")
+    left = {"exact": "n_exact", "at_least": "n_at_least"}.get(mode, f"CASE WHEN n_exact >= {N} THEN n_exact WHEN n_exact IS NOT NULL THEN least({N}, n_at_least) END")
     return f"""
 WITH c AS MATERIALIZED ({_COHORT}),
 cases AS (SELECT id AS case_id, last_q, row_number() OVER (ORDER BY id) AS match_group, t, age, a, etudegp, profq2 FROM c WHERE is_case = 1 AND last_q > 0),
