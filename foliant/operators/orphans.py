@@ -34,32 +34,30 @@ def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
     Records that end no later than they begin never existed but count as begun. Empty tables give no rows.
     """
     by = ["table_name", "key"]
-    parent = parents.groupBy(*by).agg(F.min("begins").alias("first"), F.min(F.when(F.col("ends").isNull(), F.col("begins"))).alias("lasting"))
-    readable = refs.where(F.col("key").isNotNull())
-    absent = readable.select(*by).distinct().join(parent, by, "left_anti").withColumn("absent", F.lit(True))
-    found = parent.withColumn("absent", F.lit(False))
-    keys = found.unionByName(absent, allowMissingColumns=True)
-    month = F.substring(F.col("at").cast("string"), 1, 7)
-    named = readable.join(keys, by, "left").select(*by, "row_id", "at", "first", "lasting", "absent", month.alias("ref_month"))
-    unreadable = refs.where(F.col("key").isNull()).select("table_name", "row_id", month.alias("ref_month"), F.lit("missing").alias("kind"))
-    early = named.where(F.col("absent") | (F.col("first") > F.col("at"))).select("table_name", "row_id", "ref_month", F.when(F.col("absent"), "missing").otherwise("late").alias("kind"))
-    open_ = named.where(~F.col("absent") & (F.col("first") <= F.col("at")) & (F.col("lasting").isNull() | (F.col("lasting") > F.col("at"))))
-
+    day = lambda c: F.to_date(c)
     closed = parents.where(F.col("ends") > F.col("begins"))
     moves = closed.select(*by, F.explode(F.array(F.struct(F.col("begins").alias("at"), F.lit(1).alias("step")), F.struct(F.col("ends").alias("at"), F.lit(-1).alias("step")))).alias("m"))
     moves = moves.groupBy(*by, F.col("m.at").alias("at")).agg(F.sum("m.step").alias("step"))
-    line = open_.select(*by, "at", F.lit(0).cast("long").alias("step"), "row_id", "ref_month").unionByName(moves, allowMissingColumns=True).withColumn("day", F.to_date("at"))
-    days = moves.groupBy(*by, F.to_date("at").alias("day")).agg(F.sum("step").alias("step"))
-    spans = days.select(*by, "day", F.sum("step").over(Window.partitionBy(*by).orderBy("day")).alias("upto"))
-    # The days on which a key is only referred to take the sum of the last day before with a move.
-    asked = open_.select(*by, F.to_date("at").alias("day")).distinct().withColumn("upto", F.lit(None).cast("long"))
-    before = Window.partitionBy(*by).orderBy(F.unix_date("day")).rangeBetween(Window.unboundedPreceding, -1)
-    carried = spans.unionByName(asked).select(*by, "day", F.last("upto", True).over(before).alias("carry")).groupBy(*by, "day").agg(F.max("carry").alias("carry"))
-    inner = Window.partitionBy(*by, "day").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = line.withColumn("now", F.sum("step").over(inner)).where(F.col("row_id").isNotNull())
-    gone = summed.join(carried, [*by, "day"], "left").where(F.col("now") + F.coalesce("carry", F.lit(0)) <= 0)
-    deleted = gone.select("table_name", "row_id", "ref_month", F.lit("deleted").alias("kind"))
-    return unreadable.unionByName(early).unionByName(deleted)
+    days = moves.groupBy(*by, day("at").alias("day")).agg(F.sum("step").alias("step"))
+    upto = days.select(*by, "day", F.sum("step").over(Window.partitionBy(*by).orderBy("day")).alias("upto"))
+    spans = upto.groupBy(*by).agg(F.collect_list(F.struct("day", "upto")).alias("spans"))  # at most one for each day of the calendar
+    parent = parents.groupBy(*by).agg(F.min("begins").alias("first"), F.min(F.when(F.col("ends").isNull(), F.col("begins"))).alias("lasting")).join(spans, by, "left")
+
+    readable = refs.where(F.col("key").isNotNull())
+    absent = readable.select(*by).distinct().join(parent, by, "left_anti").withColumn("absent", F.lit(True))
+    keys = parent.withColumn("absent", F.lit(False)).unionByName(absent, allowMissingColumns=True)
+    month = F.substring(F.col("at").cast("string"), 1, 7)
+    named = refs.join(keys, by, "left").withColumn("kind", F.when(F.col("key").isNull() | F.col("absent"), "missing").when(F.col("first") > F.col("at"), "late"))
+    open_ = (F.col("first") <= F.col("at")) & (F.col("lasting").isNull() | (F.col("lasting") > F.col("at")))
+    before = F.array_max(F.filter("spans", lambda s: s["day"] < day("at")))["upto"]
+    left = named.where(F.col("kind").isNotNull() | open_).select(*by, "at", "row_id", month.alias("ref_month"), "kind", before.alias("before"))
+    # References that are judged already stand each by itself in the window below.
+    left = left.withColumn("apart", F.when(F.col("kind").isNotNull(), F.col("row_id")))
+    line = left.unionByName(moves, allowMissingColumns=True).withColumn("day", day("at"))
+    inner = Window.partitionBy(*by, "day", "apart").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    alive = F.coalesce(F.sum("step").over(inner), F.lit(0)) + F.coalesce("before", F.lit(0))
+    judged = line.withColumn("kind", F.coalesce("kind", F.when(alive <= 0, "deleted")))
+    return judged.where("row_id IS NOT NULL AND kind IS NOT NULL").select("table_name", "row_id", "ref_month", "kind")
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
