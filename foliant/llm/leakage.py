@@ -34,14 +34,15 @@ class Unit:
     run: int
     edits: int
     gram: int
+    cost: int = 2
 
     @property
     def passage(self) -> int:
         return 3 * (self.run + self.edits)
 
 
-#: Twelve words with two edits; 24 characters with three, as about one in ten.
-WORDS, CHARS = Unit(12, 2, 2), Unit(24, 3, 3)
+#: Twelve words with two edits; 24 characters with three, as about one in ten. An edit undoes as many matches as its cost.
+WORDS, CHARS = Unit(12, 2, 2, 2), Unit(24, 3, 3, 3)
 
 
 def words(text: str) -> list[str]:
@@ -70,8 +71,8 @@ class Index:
 
     K1, B, BLOCK = 1.2, 0.75, 8
 
-    def __init__(self, items: list[tuple[int, list[str]]], unit: Unit) -> None:
-        self.unit = unit
+    def __init__(self, items: list[tuple[int, list[str]]], unit: Unit, whole: bool = True) -> None:
+        self.unit, self.whole = unit, whole
         self.items = sorted((i, u) for i, u in items if len(u) >= unit.run)
         counted = [Counter(grams(u, unit.gram)) for _, u in self.items]
         mean = sum(c.total() for c in counted) / max(1, len(counted))
@@ -160,7 +161,10 @@ class Index:
                 continue
             for k in self.search(set(terms[a:b])):
                 item, own = self.items[k]
-                if item not in out and holds_run(own, units[a : a + size], self.unit):
+                if item in out or not holds_run(own, units[a : a + size], self.unit):
+                    continue
+                wide = units[max(0, a - self.unit.run) : a + size + self.unit.run]
+                if not self.whole or aligned_length(own, wide, self.unit.cost) >= self.unit.run:
                     out.add(item)
         return out
 
@@ -189,6 +193,30 @@ def holds_run(item: list[str], passage: list[str], unit: Unit) -> bool:
     return True
 
 
+def _best_end(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int]:
+    """Where in both the best local alignment ends: 1 for a match, -cost for an edit."""
+    row, step = np.zeros(len(b) + 1, dtype=np.int32), cost * np.arange(len(b) + 1, dtype=np.int32)
+    best, end = 0, (0, 0)
+    for k, x in enumerate(a):
+        new = np.zeros_like(row)
+        new[1:] = np.maximum(row[:-1] + np.where(b == x, 1, -cost), row[1:] - cost)
+        row = np.maximum(np.maximum.accumulate(new + step) - step, 0)
+        j = int(row.argmax())
+        if row[j] > best:
+            best, end = int(row[j]), (k + 1, j)
+    return end
+
+
+def aligned_length(item: list[str], passage: list[str], cost: int) -> int:
+    """Units of the item that its best local alignment with a passage spans; it begins and ends with a match, so that a run
+    isn't made long enough by edits at its ends."""
+    codes: dict[str, int] = {}
+    a = np.array([codes.setdefault(u, len(codes)) for u in item])
+    b = np.array([codes.get(u, -1) for u in passage])
+    i, j = _best_end(a, b, cost)
+    return _best_end(a[:i][::-1], b[:j][::-1], cost)[0] if i else 0
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "item_text", most_items: int = 100_000) -> DataFrame:
     """One row per document and item of which it holds a run: `doc_id, item_id`.
 

@@ -58,7 +58,7 @@ def divided_sets(members: DataFrame, given: DataFrame, record_id: str, split: Co
     """`record_id, set_id` of every record of a set whose given splits, nulls aside, are more than one."""
     named = given.select(F.col(record_id).cast("long").alias("record_id"), split.alias("split")).where("split IS NOT NULL")
     sets = members.join(named, "record_id").groupBy("set_id").agg(F.min("split").alias("a"), F.max("split").alias("b")).where("a <> b").select("set_id")
-    return members.join(sets, "set_id", "left_semi")
+    return members.join(sets, "set_id", "left_semi").select("record_id", "set_id")
 
 
 def assign_splits(members: DataFrame, label: DataFrame, shares: Mapping[str, float], big: int = 1000, seed: int = 42) -> DataFrame:
