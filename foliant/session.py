@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the checkpoint folder, so that a lost executor costs no recomputation of the whole lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a table in the shared checkpoint folder and read it again: a lost executor costs no recomputation of the whole
+    lineage, and plans after it know the table's true size. (The size that Spark infers of a checkpointed join is the product
+    of its sides', whose digits multiply with each round of a loop.)
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table that `cut` wrote and that nothing reads any more, such as a round's before the last."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
