@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import hot_keys, replicated, salted
-from ..session import cut
+from ..session import cut, forget
 
 
 def connected(records: DataFrame, record_id: str, entities: Sequence[Column], most_rounds: int = 60) -> DataFrame:
     """`record_id, set_id`: the smallest record id that a record reaches over shared entities.
 
-    Minimum labels go from records to entities and back, and each round every label is replaced by its own record's
-    label, so that long chains take a number of rounds that grows with the logarithm of their length. Records with the same entities
-    are one node. Entities that hold many nodes are salted. Each round is checkpointed. Records without any entity are
+    Minimum labels go from records to entities and back and, each round, to the record that a label names, and every label
+    is replaced by its own record's, so that the rounds of a long chain grow with the logarithm of its length. Records with the same entities
+    are one node. Entities that hold many nodes are salted. Each round is written to the shared folder. Records without any entity are
     sets of their own; records with a null id are left out; repeated ids are one record.
     """
     keys = F.array_sort(F.array_distinct(F.array_compact(F.array(*entities))))
@@ -27,16 +27,21 @@ def connected(records: DataFrame, record_id: str, entities: Sequence[Column], mo
     edges = nodes.select("node", F.explode("keys").alias("entity"))
     hot = cut(hot_keys(edges, ["entity"]))
     edges = cut(salted(edges, ["entity"], hot, F.col("node")))
-    labels = cut(nodes.select("node", F.col("node").alias("label")))
+    last = labels = cut(nodes.select("node", F.col("node").alias("label")))
     for _ in range(most_rounds):
         least = edges.join(labels, "node").groupBy("entity").agg(F.min("label").alias("label"))
         reached = edges.join(replicated(least, ["entity"], hot), ["entity", "_salt"]).groupBy("node").agg(F.min("label").alias("near"))
-        moved = labels.join(reached, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        seen = labels.join(reached, "node")
+        # What a record reaches goes to its label's own record, too, so that whole trees of labels move at once.
+        lifted = seen.groupBy(F.col("label").alias("node")).agg(F.min("near").alias("lift"))
+        moved = seen.join(lifted, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "near", "lift").alias("label"))
         # A label is a node, as the least record of its keys; its own label is no greater.
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
         after = cut(moved.join(jump, "label", "left").select("node", "old", F.least("label", "beyond").alias("label")))
         changed = after.where("label <> old").limit(1).count()
         labels = after.select("node", "label")
+        forget(last)
+        last = after
         if not changed:
             break
     else:
