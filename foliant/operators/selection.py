@@ -27,7 +27,7 @@ def is_case(c: Column) -> Column:
 def waves_of(pattern: Column, waves: int = 13) -> Column:
     """Positions of 1 in a pattern; all waves for null."""
     every = F.sequence(F.lit(1), F.lit(waves))
-    return F.coalesce(F.filter(every, lambda q: F.substring(pattern, q, F.lit(1)) == "1"), every)
+    return F.when(pattern.isNull(), every).otherwise(F.filter(every, lambda q: F.substring(pattern, q, F.lit(1)) == "1"))
 
 
 def select_waves(pattern: Column, last: Column, mode: str = "all", inclusive: bool = True, custom: list[int] | None = None) -> Column:
