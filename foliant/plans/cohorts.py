@@ -118,7 +118,7 @@ def training_table(spark, d):
 
 
 def assign_sized_splits(spark, d):
-    return training.assign_sized(_base(spark, d), "id", 40, 10, 10)
+    return training.assign_sized(_base(spark, d), "id", 20, 5, 5)
 
 
 def single_split(spark, d):
@@ -275,7 +275,7 @@ SELECT a.unique_id, a.split, a.case_control, a.last_q, a.rempli_pattern, c.rempl
   (left(a.rempli_pattern, a.last_q) IS DISTINCT FROM left(c.rempli_pattern, a.last_q))::INT AS at_least_warning,
   {', '.join(f"round(datediff('day', c.exit_date, c.dateq{q}) / 365.25, 6) AS case_dt_dateq{q}" for q in range(1, 14))}
 FROM u a LEFT JOIN u c ON c.match_group = a.match_group AND c.case_control = 1""",
-    "assign_sized_splits": f"SELECT id, CASE WHEN r < 40 THEN 'train' WHEN r < 50 THEN 'val' WHEN r < 60 THEN 'test' END AS split FROM ({_ranked('id', f'({_RECODED})')})",
+    "assign_sized_splits": f"SELECT id, CASE WHEN r < 20 THEN 'train' WHEN r < 25 THEN 'val' WHEN r < 30 THEN 'test' END AS split FROM ({_ranked('id', f'({_RECODED})')})",
     "single_split": "SELECT id, " + _SINGLE.format(ranked=_ranked("id", f"(SELECT * FROM ({_RECODED}) WHERE lateralite <> 9)")),
     "tertile_balanced_split": f"""
 WITH x AS (SELECT id AS key, (lateralite = 2)::INT AS label, {' + '.join(f'(dateq{q} IS NOT NULL)::INT' for q in range(1, 14))} AS size FROM ({_RECODED}) WHERE lateralite IN (1, 2)),
