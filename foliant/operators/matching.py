@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cohort import WAVES, YEAR
+from .skew import numbered
 
 MODES = ("exact", "at_least", "exact_w_fallback")
 
@@ -84,9 +85,8 @@ def match(cohort: DataFrame, n: int, mode: str, age_window: int = 1, columns: Se
     order = Window.partitionBy("case_id").orderBy("tier", _rank(seed, F.col("case_id"), F.col("control_id")), "control_id")
     drawn = fitting.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).select("case_id", F.col("control_id").alias("member_id"), F.lit(0).alias("case_control"), "tier")
     cases = cohort.where((F.col("is_case") == 1) & (F.col("last_q") > 0)).groupBy(F.col(id_col).alias("case_id")).agg(F.min("last_q").alias("last_q"))
-    numbered = cases.withColumn("match_group", F.row_number().over(Window.orderBy("case_id")).cast("long"))
     zero = F.lit(0).cast("long")
-    numbers = numbered.join(counted, "case_id", "left").select("case_id", "match_group", "last_q", *(F.coalesce(c, zero).alias(c) for c in ("n_candidates", "n_exact", "n_at_least")))
+    numbers = numbered(cases, "case_id", "match_group").join(counted, "case_id", "left").select("case_id", "match_group", "last_q", *(F.coalesce(c, zero).alias(c) for c in ("n_candidates", "n_exact", "n_at_least")))
     left = {"exact": F.col("n_exact"), "at_least": F.col("n_at_least")}.get(mode, F.when(F.col("n_exact") >= n, F.col("n_exact")).otherwise(F.least(F.lit(n), F.col("n_at_least"))))
     numbers = numbers.withColumn("n_left", left.cast("long"))
     itself = numbers.select("case_id", F.col("case_id").alias("member_id"), F.lit(1).alias("case_control"), F.lit(0).alias("tier"))
