@@ -190,26 +190,32 @@ def _after_closers(text: str, b: int) -> bool:
     return not m or m.start() > e and _like_start(text, m.start())
 
 
-def _line_symbol(text: str, a: int, b: int) -> str | None:
+def _line_symbol(text: str, a: int, b: int, depth: int = 0) -> str | None:
     """What the blanks text[a:b], which hold line ends, do; None if they only wrap a line."""
     start = max((m.end() for m in LINES.finditer(text, max(0, a - 400), a)), default=max(0, a - 400))
     line = text[start:a].strip()
+    listed = _is_list(line)
+    if listed and depth < 4 and POINTED.match(line):  # a number that a wrap put at the line's beginning makes no list
+        first = FIRST.search(text, start, a).start()
+        listed = not start or _line_symbol(text, _end_before(text, start), first, depth + 1) is not None
     n_breaks = len(LINES.findall(text, a, b))
     after = text[b : b + 200]
     after = after[: m.start()] if (m := LINES.search(after)) else after
     if not line or not after.strip():
         return "hard"
     ended = bool(ENDING.search(line)) and (line[-1] != "." or _is_stop(text, a - 1, a) or line[-2:-1] == ".")
+    if not ended and line[-1] == "." and (BULLET.match(after) or NUMBERED.match(after)):  # an abbreviation that may end a sentence does so before a list
+        ended = _word_before(text, a - 1).lower() in EITHER or _meridiem(text, a - 1)
     room = len(line) + 1 + len(after.split()[0])
     long = len(line) >= 40 and room >= WRAPPED
-    unfinished = long and not ended and not _is_list(line) and not HAS_THAI.search(line)
+    unfinished = long and not ended and not listed and not HAS_THAI.search(line)
     if BULLET.match(after) and not (unfinished and n_breaks < 2) or NUMBERED.match(after) and not (unfinished and n_breaks < 2 and after[0].isalpha()):
         return "list"
     if POINTED.match(after) and (n_breaks > 1 or not unfinished) and len(after) < 60 and not ENDING.search(after.strip()):
         return "list"
     if n_breaks > 1:
         return "hard"
-    if _is_list(line) and len(line) < 60:
+    if listed and len(line) < 60:
         return "break"
     if ended:
         return None  # the stop itself decides
