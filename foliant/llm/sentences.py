@@ -223,6 +223,8 @@ def _line_symbol(text: str, a: int, b: int, depth: int = 0) -> str | None:
         return "break" if len(line) < 25 else None
     if re.search(f"[{THAI}]", line):
         return _thai(text, a, b) if re.search(f"[{THAI}]$", line) or not len(line) < 30 else "break"
+    if line[-1] in "-\u00ad" and after[0].islower():
+        return None
     if after[0].islower() and not re.match(r"[a-z]\d+_", after):
         return None if long or len(line) > 12 else "break"
     if not long or len(line) > 95 and not after[0].isdigit():
