@@ -34,15 +34,14 @@ class Unit:
     run: int
     edits: int
     gram: int
-    cost: int = 2
 
     @property
     def passage(self) -> int:
         return 3 * (self.run + self.edits)
 
 
-#: Twelve words with two edits; 24 characters with three, as about one in ten. An edit undoes as many matches as its cost.
-WORDS, CHARS = Unit(12, 2, 2, 2), Unit(24, 3, 3, 3)
+#: Twelve words with two edits; 24 characters with three, as about one in ten.
+WORDS, CHARS = Unit(12, 2, 2), Unit(24, 3, 3)
 
 
 def words(text: str) -> list[str]:
@@ -163,8 +162,7 @@ class Index:
                 item, own = self.items[k]
                 if item in out or not holds_run(own, units[a : a + size], self.unit):
                     continue
-                wide = units[max(0, a - self.unit.run) : a + size + self.unit.run]
-                if not self.whole or aligned_length(own, wide, self.unit.cost) >= self.unit.run:
+                if not self.whole or holds_whole_run(own, units[a : a + size], self.unit):
                     out.add(item)
         return out
 
@@ -193,28 +191,30 @@ def holds_run(item: list[str], passage: list[str], unit: Unit) -> bool:
     return True
 
 
-def _best_end(a: np.ndarray, b: np.ndarray, cost: int) -> tuple[int, int]:
-    """Where in both the best local alignment ends: 1 for a match, -cost for an edit."""
-    row, step = np.zeros(len(b) + 1, dtype=np.int32), cost * np.arange(len(b) + 1, dtype=np.int32)
-    best, end = 0, (0, 0)
-    for k, x in enumerate(a):
-        new = np.zeros_like(row)
-        new[1:] = np.maximum(row[:-1] + np.where(b == x, 1, -cost), row[1:] - cost)
-        row = np.maximum(np.maximum.accumulate(new + step) - step, 0)
-        j = int(row.argmax())
-        if row[j] > best:
-            best, end = int(row[j]), (k + 1, j)
-    return end
+def holds_whole_run(item: list[str], passage: list[str], unit: Unit) -> bool:
+    """Whether at least `run` consecutive units of the item, the first and the last of them unaltered, lie in the passage with
+    at most `edits` edits between, in any alignment; so edits at a run's ends don't make it long enough.
 
-
-def aligned_length(item: list[str], passage: list[str], cost: int) -> int:
-    """Units of the item that its best local alignment with a passage spans; it begins and ends with a match, so that a run
-    isn't made long enough by edits at its ends."""
+    Of a longer run with no more edits, the first `run` units and those up to the next match are one: `run + edits` units suffice.
+    """
     codes: dict[str, int] = {}
-    a = np.array([codes.setdefault(u, len(codes)) for u in item])
+    a = np.array([codes.setdefault(u, len(codes)) for u in item] + [-2] * unit.edits)
     b = np.array([codes.get(u, -1) for u in passage])
-    i, j = _best_end(a, b, cost)
-    return _best_end(a[:i][::-1], b[:j][::-1], cost)[0] if i else 0
+    windows = np.lib.stride_tricks.sliding_window_view(a, unit.run + unit.edits)
+    row = np.full((len(windows), len(b) + 1), unit.edits + 1, dtype=np.int16)
+    row[:, 1:][windows[:, :1] == b] = 0
+    step = np.arange(len(b) + 1, dtype=np.int16)
+    row = np.minimum.accumulate(row - step, axis=1) + step
+    for k in range(1, unit.run + unit.edits):
+        same = windows[:, k : k + 1] == b
+        if k >= unit.run - 1 and (same & (row[:, :-1] <= unit.edits)).any():
+            return True
+        new = np.full_like(row, unit.edits + 1)
+        new[:, 1:] = np.minimum(row[:, :-1] + ~same, row[:, 1:] + 1)
+        row = np.minimum.accumulate(new - step, axis=1) + step
+        if row.min() > unit.edits:
+            return False
+    return False
 
 
 def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "item_text", most_items: int = 100_000) -> DataFrame:

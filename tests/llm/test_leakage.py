@@ -1,7 +1,9 @@
 """Leaked items, against a plain search."""
 
 import random
+from collections import Counter
 
+import pytest
 from foliant.llm import leakage as op
 
 
@@ -48,6 +50,48 @@ def test_index_loses_nothing():
     assert hits > 60
 
 
+def brute_whole(item, doc, unit):
+    """From each match on, all alignments that end with a match, of any length."""
+    for s in range(len(item)):
+        for j in (j for j, b in enumerate(doc) if b == item[s]):
+            row = list(range(len(doc) - j + 1))
+            row = [99, *row[:-1]]
+            for length, a in enumerate(item[s + 1 :], 2):
+                new = [99]
+                for i, b in enumerate(doc[j:], 1):
+                    if a == b and length >= unit.run and row[i - 1] <= unit.edits:
+                        return True
+                    new.append(min(row[i - 1] + (a != b), row[i] + 1, new[-1] + 1))
+                row = new
+                if min(row) > unit.edits:
+                    break
+    return False
+
+
+@pytest.mark.parametrize("unit", [op.WORDS, op.CHARS])
+def test_whole_runs_are_those_of_the_rule(unit):
+    rng = random.Random(11)
+    items = [(k, text(rng, rng.choice([12, 13, 24, 25, 40, 60]), 60)) for k in range(30)]
+    index, counts = op.Index(items, unit), Counter()
+    for _ in range(250):
+        _, own = items[rng.randrange(30)]
+        n = unit.run + rng.randrange(-2, 3)
+        start = rng.randrange(max(1, len(own) - n))
+        part = edited(rng, own[start : start + n], rng.randrange(unit.edits + 2))
+        doc = text(rng, rng.randrange(50), 60) + part + text(rng, rng.randrange(50), 60)
+        want = {k for k, u in items if brute_whole(u, doc, unit)}
+        assert index.leaks(doc) == want
+        counts[bool(want)] += 1
+    assert min(counts[True], counts[False]) > 40
+
+
+@pytest.mark.parametrize("altered", [(2,), (3, 10), (2, 11), (2, 3)])
+def test_edits_near_the_ends_of_a_run(altered):
+    item = [f"w{k}" for k in range(40)]
+    run = [f"y{k}" if k in altered else u for k, u in enumerate(item[5:17], 1)]
+    assert op.Index([(1, item)], op.WORDS).leaks(["x"] * 30 + run + ["x"] * 20) == {1}
+
+
 def test_ends_of_a_run():
     item = [f"w{k}" for k in range(40)]
     index = op.Index([(1, item), (2, item[::-1])], op.WORDS)
