@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,10 +56,14 @@ def append_new(ledger: DataFrame, key: Column, found: DataFrame, found_key: Colu
     return new.join(ledger.select(key.alias("id")).where("id IS NOT NULL").distinct(), "id", "left_anti").withColumn("processed", F.lit(False))
 
 
-def transfer(files: DataFrame, ledger: DataFrame, by: list[str], cap: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Files of the first `cap` keys not yet in a ledger (all of them if 0), and the ledger with these keys."""
+def transfer(files: DataFrame, ledger: DataFrame, by: list[str], cap: int = 0, per: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Files of the keys not yet in a ledger, and the ledger with these keys: all of them, or the first `cap`, of each `per` (such as the wave) if given."""
     new = files.select(*by).dropna().distinct().join(ledger.select(*by), by, "left_anti")
-    new = new.orderBy(*by).limit(cap) if cap > 0 else new
+    if cap > 0 and per:
+        place = F.row_number().over(Window.partitionBy(*per).orderBy(*by))
+        new = new.withColumn("_place", place).where(F.col("_place") <= cap).drop("_place")
+    elif cap > 0:
+        new = new.orderBy(*by).limit(cap)
     return files.join(new, by, "left_semi"), ledger.select(*by).unionByName(new)
 
 

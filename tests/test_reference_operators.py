@@ -1,6 +1,7 @@
 """Operators on invented rows with nulls, ties, repetitions and clashing names."""
 
 import math
+import os
 from datetime import date
 
 import numpy as np
@@ -9,6 +10,7 @@ from foliant.functions import geometry as g
 from foliant.functions import kernels as k
 from foliant.functions import text as t
 from foliant.operators import annotations, boxes, cohort, manifest, matching, page_matching, reconcile, runs, selection, training
+from foliant.plans import manifests
 from pyspark.sql import functions as F
 
 
@@ -16,6 +18,9 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
 def test_clean_manifest(spark):
     data = [("a.b.pdf", "1"), ("a.b.pdf", "1"), ("a.b.tif", "1"), ("c.pdf", "1"), ("c.tif", "2"), (None, "3"), ("d.pdf", None), ("e", "4")]
     df = spark.createDataFrame(data, "name string, id string").withColumn("used", F.lit(5))
@@ -34,6 +39,26 @@ def test_reconcile(spark):
     assert rows(reconcile.name_mismatches(a.dropna(), b, "k")) == [("1", "right"), ("3", "left")]
 
 
+def test_transfer(spark):
+    """All keys that the ledger lacks, or the first of each wave, as the reference caps them."""
+    new = [(f"{k:03}", q) for q in (1, 2, 5) for k in range(60 if q == 1 else 3)]
+    files = spark.createDataFrame([*new, *new[:5], (None, 1), ("900", 2)], "id string, q int")
+    ledger = spark.createDataFrame([("900", 2)], "id string, q int")
+    assert rows(reconcile.transfer(files, ledger, ["id", "q"])[1]) == sorted([*new, ("900", 2)])
+    kept, longer = reconcile.transfer(files, ledger, ["id", "q"], 2, ["q"])
+    assert rows(longer) == [("000", 1), ("000", 2), ("000", 5), ("001", 1), ("001", 2), ("001", 5), ("900", 2)]
+    assert rows(kept.distinct()) == rows(longer)[:-1]
+
+
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="no test tables")
+def test_transfer_ledger_has_all_new_keys(spark):
+    key = manifests.subject_key(F.col("e3n_id_hand")).alias("id")
+    scans, ledger = (spark.read.parquet(f"{SMALL}/{name}.parquet").select(key, "q").distinct() for name in ("manifest", "combined_success_ids"))
+    want = scans.dropna().subtract(ledger)
+    assert want.count() > 50
+    assert manifests.transfer_ledger_all(spark, SMALL).count() == ledger.count() + want.count()
+
+
 def test_days_and_codes(spark):
     df = spark.createDataFrame([("05JAN1990",), ("05jan1990 ",), ("31FEV1990",), ("00JAN2000",), ("5JAN1990",), (None,)], "d string")
     assert [r[0] for r in df.select(cohort.day(F.col("d"))).collect()] == [date(1990, 1, 5)] * 2 + [None] * 4
