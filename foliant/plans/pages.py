@@ -150,23 +150,45 @@ def censor_boxes(spark, d):
     return boxes.censor_boxes(_boxes(spark, d, 1), _boxes(spark, d, 0), ["page"]).select("page", "inner_no", "outer_no", "partial", "box.*")
 
 
-def box_columns(spark, d):
-    """Rescaled, enlarged and snapped boxes, and their centres and areas."""
+def _all_boxes(spark, d):
+    return _boxes(spark, d, 1).unionByName(_boxes(spark, d, 0))
+
+
+def _box_columns(rows):
     b, old, new = F.col("box"), (F.lit(600), F.lit(800)), (F.lit(1240), F.lit(1754))
     made = {"scaled": g.rescale(b, old, new), "larger": g.enlarge(b, F.lit(1.5), old), "snapped": g.snap(b, (F.lit(540.0), F.lit(490.0)), (F.lit(700.0), F.lit(900.0)))}
     cols = [F.col(f"{n}.{s}").cast("double").alias(f"{n}_{s}") for n in made for s in g.SIDES]
-    return _boxes(spark, d, 1).withColumns(made).select("page", "no", *cols, g.area(b).alias("area"), g.center(b)["x"].alias("cx"), g.center(b)["y"].alias("cy"))
+    return rows.withColumns(made).select("page", "no", *cols, g.area(b).alias("area"), g.center(b)["x"].alias("cx"), g.center(b)["y"].alias("cy"))
 
 
-def box_transforms(spark, d):
-    """Boxes shifted, scaled and turned about a point, as corners, with the upright box and the test of their shape."""
+def box_columns(spark, d):
+    """Rescaled, enlarged and snapped boxes, and their centres and areas; of the inner boxes (odd lines) only."""
+    return _box_columns(_boxes(spark, d, 1))
+
+
+def all_box_columns(spark, d):
+    """`box_columns` of the boxes of all lines."""
+    return _box_columns(_all_boxes(spark, d))
+
+
+def _box_transforms(rows):
     b = F.col("box")
     pts = g.similarity(b, g.point(F.lit(10), F.lit(20)), F.lit(1.1), F.lit(3.0), F.lit(-2.0), F.lit(4.0))
-    rows = _boxes(spark, d, 1).withColumn("pts", pts)
+    rows = rows.withColumn("pts", pts)
     corner = [F.round(F.get("pts", F.lit(k))[a], 6).alias(f"{a}{k}") for k in range(4) for a in "xy"]
     return rows.select("page", "no", *corner, g.validity(F.col("pts"), g.width(b), g.height(b)).alias("verdict"))
 
 
+def box_transforms(spark, d):
+    """Boxes shifted, scaled and turned about a point, as corners, with the upright box and the test of their shape; of the inner boxes (odd lines) only."""
+    return _box_transforms(_boxes(spark, d, 1))
+
+
+def all_box_transforms(spark, d):
+    """`box_transforms` of the boxes of all lines."""
+    return _box_transforms(_all_boxes(spark, d))
+
+
 def yolo_rows(spark, d):
     """Centre and size of boxes in percent, and the percent again."""
     p = {"x": F.col("l_quantity"), "y": F.col("l_discount") * 100, "width": F.col("l_tax") * 100, "height": F.col("l_linenumber") + 1.0}
@@ -209,7 +231,7 @@ QUERIES = {
     for f in (
         run_time_stats, longest_runs, last_run_counts, grouped_mode_accuracy, row_accuracy, id_extract, token_similarity, text_comparison, palette, phash_bits, phash_costs,
         page_assignment, assignment_report, assignment_gaps, select_template, discover_template, page_cascade, expected_pages, box_containment, box_overlap, censor_boxes,
-        box_columns, box_transforms, yolo_rows, annotation_pages, annotation_regions, label_files,
+        box_columns, all_box_columns, box_transforms, all_box_transforms, yolo_rows, annotation_pages, annotation_regions, label_files,
     )
 }
 
@@ -263,3 +285,4 @@ SELECT a.doc, a.page, a.template, a.cost::BIGINT AS best, b.cost::BIGINT AS seco
     "yolo_rows": """SELECT l_orderkey, l_linenumber, round((l_quantity + l_tax * 100 / 2) / 100, 9) AS xc, round((l_discount * 100 + (l_linenumber + 1) / 2) / 100, 9) AS yc, round(l_tax, 9) AS w, round((l_linenumber + 1) / 100, 9) AS h,
   round(l_quantity, 6) AS back_x, round(l_discount * 100, 6) AS back_y, round(l_tax * 100, 6) AS back_width, (l_linenumber + 1)::DOUBLE AS back_height FROM lineitem""",
 }
+SQL |= {f"all_{name}": SQL[name].replace(_box(1), f"(SELECT * FROM {_box(1)} UNION ALL SELECT * FROM {_box(0)})") for name in ("box_columns", "box_transforms")}

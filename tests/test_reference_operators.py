@@ -10,7 +10,7 @@ from foliant.functions import geometry as g
 from foliant.functions import kernels as k
 from foliant.functions import text as t
 from foliant.operators import annotations, boxes, cohort, manifest, matching, page_matching, reconcile, runs, selection, training
-from foliant.plans import manifests
+from foliant.plans import manifests, pages
 from pyspark.sql import functions as F
 
 
@@ -187,6 +187,14 @@ def test_box_joins(spark):
     assert boxes.censor_boxes(inner, outer, ["page"]).count() == 3
 
 
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="no test tables")
+def test_single_boxes_of_all_lines(spark):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct()
+    assert lines.where("l_linenumber % 2 = 0").count() > 0
+    for query in (pages.all_box_columns, pages.all_box_transforms):
+        assert rows(query(spark, SMALL).select("page", "no")) == rows(lines)
+
+
 def test_annotations(spark):
     body = '[{"image":"x/page_3.png","roi_type":["a","b"],"censor_type":"partial","label":[{"rectanglelabels":["roi"],"x":1},{"rectanglelabels":["censor"]},{"rectanglelabels":"roi"},{"rectanglelabels":["roi"]},{}]},{"image":"y/page_3.png"},{"image":"z"}]'
     df = spark.createDataFrame([(1, body), (2, "{bad"), (3, None)], "id int, body string")
