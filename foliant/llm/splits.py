@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Hashable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import hot_keys, replicated, salted
@@ -66,53 +66,48 @@ def divided_sets(members: DataFrame, given: DataFrame, record_id: str, split: Co
     return members.join(sets, "set_id", "left_semi").select("record_id", "set_id")
 
 
+def dealt(pieces: Sequence[tuple[Hashable, int, Mapping[str, int]]], shares: Mapping[str, float], labels: Mapping[str, int], total: int) -> dict[Hashable, str]:
+    """A split for each piece (key, records, records by label), the largest first, of the splits with room for half of it (or else the
+    emptiest) each to where the squared deviations of size and labels from what the splits are due, as parts of that, come out least."""
+    short = {s: {None: -share * total} | {k: -share * n for k, n in labels.items()} for s, share in shares.items()}
+    out = {}
+    for key, n, parts in sorted(pieces, key=lambda p: (-p[1], p[0])):
+        adds = [(None, n, total)] + [(k, x, labels[k]) for k, x in parts.items() if k in labels]
+        gain = {s: sum(x * (2 * short[s][k] + x) / of**2 for k, x, of in adds) / max(share, 1e-9) for s, share in shares.items()}
+        room = [s for s in shares if short[s][None] + n / 2 <= 0] or [min(shares, key=lambda s: (short[s][None], s))]
+        best = out[key] = min(room, key=lambda s: (gain[s], s))
+        for k, x, _ in adds:
+            short[best][k] += x
+    return out
+
+
 def assign_splits(members: DataFrame, label: DataFrame, shares: Mapping[str, float], big: int = 1000, seed: int = 42) -> DataFrame:
     """`set_id, split` that give each split its share of the records and of each label, as near as undivided sets allow.
 
-    `label` has record_id and label; null is a label. Sets of more than 1/`big` of all records, fewer than `big`, are dealt out
-    greedily, the largest first, each to the split that leaves the least squared deviation of size and labels. The others
-    fill what is left: in strata of like label counts and size, in hashed order, by the running sum of records in two levels.
+    `label` has record_id and label; null is a label, and the `big` most frequent count. Sets of more than 1/`big` of all records, fewer than
+    `big`, are dealt out one by one. The others go in blocks of like label counts and size, drawn by hash: a set or about 1/(4 `big`) of all
+    records, a few for each kind at least. All are dealt by what each split still lacks of the records and of each label.
     """
     labelled = members.join(label.groupBy("record_id").agg(F.min("label").alias("label")), "record_id", "left")
     counts = labelled.groupBy("set_id", F.coalesce(F.col("label").cast("string"), F.lit("")).alias("label")).agg(F.count("*").alias("n"))
     sets = cut(counts.groupBy("set_id").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("label", "n"))).alias("labels")))
     total = sets.agg(F.sum("n")).first()[0] or 0
     limit = total / big
-    giants = sorted(sets.where(F.col("n") > limit).collect(), key=lambda r: (-r.n, r.set_id))
-    all_labels = {r.label: r.n for r in counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(big).collect()}
-    have = {s: {"": 0.0} for s in shares}
-    placed = []
-    for g in giants:
-        parts = {x.label: x.n for x in g.labels}
-
-        def cost(s: str, parts: dict = parts, g=g) -> float:
-            over = (have[s][""] + g.n - shares[s] * total) / total
-            per = sum(((have[s].get(k, 0.0) + n - shares[s] * all_labels.get(k, n)) / max(1, all_labels.get(k, n))) ** 2 * (1 if have[s].get(k, 0.0) + n > shares[s] * all_labels.get(k, n) else -1) for k, n in parts.items() if k)
-            return over * abs(over) + per / max(1, len(parts))
-
-        best = min(shares, key=lambda s: (cost(s), s))
-        placed.append((g.set_id, best))
-        have[best][""] += g.n
-        for k, n in parts.items():
-            if k:
-                have[best][k] = have[best].get(k, 0.0) + n
-    left = {s: max(0.0, shares[s] * total - have[s][""]) for s in shares}
-    scale = sum(left.values()) or 1.0
-    rest = sets.where(F.col("n") <= limit)
+    each = sets.select(F.explode("labels").alias("x")).select("x.*")
+    labels = {r.label: r.n for r in each.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(big).collect()}
     signature = F.transform("labels", lambda x: F.concat_ws(":", x["label"], F.least(x["n"], F.lit(4)).cast("string")))
-    rest = rest.select("set_id", "n", F.xxhash64(F.concat_ws("|", signature), F.floor(F.log2(F.col("n")))).alias("stratum"), F.xxhash64("set_id", F.lit(seed)).alias("place"))
-    rest = rest.withColumn("part", F.shiftright("place", 54))
-    parts = rest.groupBy("stratum", "part").agg(F.sum("n").alias("m"))
-    over_parts = Window.partitionBy("stratum").orderBy("part")
-    parts = parts.select("stratum", "part", (F.sum("m").over(over_parts) - F.col("m")).alias("base"), F.sum("m").over(Window.partitionBy("stratum")).alias("all"))
-    inner = Window.partitionBy("stratum", "part").orderBy("place", "set_id")
-    at = rest.join(parts, ["stratum", "part"]).select("set_id", ((F.col("base") + F.sum("n").over(inner) - F.col("n") / 2 + F.pmod(F.col("stratum"), F.lit(997)) / 997 - 0.5) / F.col("all")).alias("at"))
-    split, reached = None, 0.0
-    for s in shares:
-        reached += left[s] / scale
-        split = F.when(F.col("at") <= reached, s) if split is None else split.when(F.col("at") <= reached, s)
-    last = max(shares, key=lambda s: left[s])
-    out = at.select("set_id", F.coalesce(split, F.lit(last)).alias("split"))
-    if placed:
-        out = out.unionByName(members.sparkSession.createDataFrame(placed, "set_id long, split string"))
-    return out
+    kind = F.pmod(F.xxhash64(F.concat_ws("|", signature), F.floor(F.log2(F.col("n")))), F.lit(512))
+    rest = sets.where(F.col("n") <= limit).withColumn("kind", kind)
+    parts = rest.groupBy("kind").agg((F.ceil(F.sum("n") * (4 * big / max(1, total))) + 31).alias("parts"))
+    rest = rest.join(F.broadcast(parts), "kind").withColumn("part", F.pmod(F.xxhash64("set_id", F.lit(seed)), F.col("parts")))
+    in_blocks = rest.select("kind", "part", F.explode("labels").alias("x")).groupBy("kind", "part", "x.label").agg(F.sum("x.n").alias("n"))
+    counted = F.collect_list(F.when(F.col("label").isin(list(labels)), F.struct("label", "n")))
+    blocks = in_blocks.groupBy("kind", "part").agg(F.sum("n").alias("n"), counted.alias("labels"))
+    giants = sets.where(F.col("n") > limit)
+    pieces = [((0, r.set_id), r.n, {x.label: x.n for x in r.labels}) for r in giants.collect()]
+    pieces += [((1, r.kind, r.part), r.n, {x.label: x.n for x in r.labels}) for r in blocks.collect()]
+    chosen = dealt(pieces, shares, labels, total)
+    make = members.sparkSession.createDataFrame
+    of_blocks = make([(*k[1:], s) for k, s in chosen.items() if k[0] == 1], "kind long, part long, split string")
+    of_giants = make([(k[1], s) for k, s in chosen.items() if k[0] == 0], "set_id long, split string")
+    return rest.join(F.broadcast(of_blocks), ["kind", "part"]).select("set_id", "split").unionByName(of_giants)

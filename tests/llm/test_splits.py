@@ -81,6 +81,31 @@ def test_assignment(spark):
     assert op.assign_splits(df.limit(0).select("record_id", "set_id"), df.select("record_id", "label"), {"train": 1.0}).collect() == []
 
 
+SHARES = {"train": 0.8, "val": 0.1, "test": 0.1}
+
+
+def shares_of(spark, sets, **kw):
+    """Share of the records, and of each label's, that each split gets of sets given as lists of labels."""
+    rows = [(k * 10**4 + i, k, v) for k, own in enumerate(sets) for i, v in enumerate(own)]
+    df = spark.createDataFrame(rows, "record_id long, set_id long, label int")
+    per = {r.set_id: r.split for r in op.assign_splits(df.select("record_id", "set_id"), df.select("record_id", "label"), SHARES, **kw).collect()}
+    assert set(per) == set(range(len(sets)))
+    return {v: {s: sum(per[r[1]] == s for r in rows if v in ("all", r[2])) / sum(v in ("all", r[2]) for r in rows) for s in SHARES} for v in ("all", *{r[2] for r in rows})}
+
+
+def test_labels_of_a_giant_are_made_up(spark):
+    rng = random.Random(5)
+    rest = [[int(rng.random() < 0.3) for _ in range(rng.choice([1, 1, 2, 3]))] for _ in range(2000)]
+    got = shares_of(spark, [[0] * (sum(map(len, rest)) // 2), *rest])
+    for label in ("all", 0, 1):
+        assert all(abs(got[label][s] - share) < 0.01 for s, share in SHARES.items()), got
+
+
+def test_few_sets_of_a_kind_reach_all_splits(spark):
+    got = shares_of(spark, [[k] * 5 for k in range(40) for _ in range(2)], big=50)["all"]
+    assert all(abs(got[s] - share) < 0.03 for s, share in SHARES.items()), got
+
+
 def test_empty(spark):
     _, m = members(spark, [])
     assert m.collect() == []
