@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Columns that are no description of a subject.
+# Fixed value: columns that are no description of a subject.
 NOT_SHOWN = re.compile(r"^(case_dt_date|q_\d+_num)|^_")
 
 
@@ -31,21 +31,22 @@ def waves_of(pattern: Column, waves: int = 13) -> Column:
 
 
 def select_waves(pattern: Column, last: Column, mode: str = "all", inclusive: bool = True, custom: list[int] | None = None) -> Column:
-    """Waves to show: all of the pattern, those up to or after the last available one, that one alone, or given ones.
+    """Waves to show: all of the pattern; those up to the last available one (`inclusive`: with it) or after it (`inclusive`:
+    without it); the highest of the pattern; or given ones.
 
-    Given waves are sorted and not held against the pattern. A null last wave leaves all of the pattern's.
+    Given waves are sorted, kept to those that exist, and not held against the pattern. A null last wave leaves all of the pattern's.
     """
     have = waves_of(pattern)
     if mode == "custom":
-        return F.array(*(F.lit(q) for q in sorted(set(custom or []))))
+        return F.array(*(F.lit(q) for q in sorted({q for q in custom or [] if 1 <= q <= 13}))).cast("array<int>")
     if mode == "all":
         return have
     if mode == "upto_last_avail":
         return F.filter(have, lambda q: last.isNull() | ((q <= last) if inclusive else (q < last)))
     if mode == "after_last_avail":
-        return F.filter(have, lambda q: last.isNull() | ((q >= last) if inclusive else (q > last)))
+        return F.filter(have, lambda q: last.isNull() | ((q > last) if inclusive else (q >= last)))
     if mode == "last_available":
-        return F.when(last.isNull(), have).otherwise(F.filter(have, lambda q: q == last))
+        return F.slice(have, -1, 1)
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -14,13 +14,13 @@ def numeric(tokens: DataFrame, least: int = 50) -> DataFrame:
     return tokens.where(F.col("text").rlike("^[0-9]+$") & (F.col("conf").cast("int") > least)).withColumns({"right": F.col("left") + F.col("width"), "bottom": F.col("top") + F.col("height")})
 
 
-def special_ids(tokens: DataFrame, page: str = "page", decoy: str = DECOY) -> DataFrame:
+def special_ids(tokens: DataFrame, page: str = "page", decoy: str = DECOY, least: int = 50) -> DataFrame:
     """`page, id`: the first token of six digits that has a single digit to its right, with the nearest such digit; else the
     first token of seven digits other than the decoy. Pages without either are left out.
 
-    Distance goes from the middle of the right side to the middle of the left side; ties go by position.
+    Only tokens with a confidence above `least` count. Distance goes from the middle of the right side to the middle of the left side; ties go by position.
     """
-    t = tokens.where(F.col("text").rlike("^[0-9]+$"))
+    t = numeric(tokens, least)
     middle = F.col("top") + F.col("height") / 2
     six = t.where(F.length("text") == 6).select(page, F.col("pos").alias("p6"), F.col("text").alias("t6"), (F.col("left") + F.col("width")).alias("x6"), middle.alias("y6"))
     one = t.where(F.length("text") == 1).select(page, F.col("pos").alias("p1"), F.col("text").alias("t1"), F.col("left").alias("x1"), middle.alias("y1"))

@@ -87,9 +87,10 @@ def single_split(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return ranked(df, key, seed).select(key, F.when(F.col("rank") < n_val, "val").when(F.col("rank") <= n_val + n_test, "test").otherwise("train").alias("split"))
 
 
-def balanced_by_tertile(df: DataFrame, key: str, label: str, size: str, n_negatives: int, seed: int = 42) -> DataFrame:
+def balanced_by_tertile(df: DataFrame, key: str, label: str, size: str, n_negatives: int, test: float = 0.1, val: float = 0.1, seed: int = 42) -> DataFrame:
     """`key, label, bin, split`: in each third of a size (right-closed, by linear quantiles) all keys with label 1 and
-    n_negatives times as many with 0, drawn by hash, then split within the third like `single_split`."""
+    n_negatives times as many with 0, drawn by hash, then split within the third in the order of `single_split`, with a test
+    share of the third and a val share of the rest."""
     rows = df.where(F.col(label).isNotNull() & F.col(size).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(size).alias("size"))
     cuts = F.broadcast(rows.agg(F.percentile("size", F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("_c")))
     binned = rows.join(cuts).withColumn("bin", F.when(F.col("size") <= F.col("_c")[0], 1).when(F.col("size") <= F.col("_c")[1], 2).otherwise(3)).drop("_c")
@@ -98,7 +99,7 @@ def balanced_by_tertile(df: DataFrame, key: str, label: str, size: str, n_negati
     drawn = binned.join(F.broadcast(positives), "bin").withColumn("_n", F.row_number().over(order)).where((F.col("label") == 1) | (F.col("_n") <= n_negatives * F.col("_pos")))
     again = Window.partitionBy("bin").orderBy(hashed(seed + 1, F.col("key")), "key")
     total = F.count("*").over(Window.partitionBy("bin"))
-    n_test = F.floor(F.col("_t") * F.lit(0.2))
-    n_val = F.floor((F.col("_t") - n_test) * F.lit(0.1))
+    n_test = F.floor(F.col("_t") * F.lit(test))
+    n_val = F.floor((F.col("_t") - n_test) * F.lit(val))
     numbered = drawn.withColumns({"_r": F.row_number().over(again) - 1, "_t": total})
     return numbered.select("key", "label", "bin", F.when(F.col("_r") < n_val, "val").when(F.col("_r") <= n_val + n_test, "test").otherwise("train").alias("split"))

@@ -126,18 +126,19 @@ def single_split(spark, d):
 
 
 def tertile_balanced_split(spark, d):
-    """Left-handed subjects and twice as many others, by thirds of the waves filled."""
-    rows = _recoded(spark, d).where("lateralite IN (1, 2)")
-    filled = sum((F.col(f"dateq{q}").isNotNull().cast("int") for q in range(1, 14)), F.lit(0))
-    return training.balanced_by_tertile(rows.select("id", (F.col("lateralite") == 2).cast("int").alias("label"), filled.alias("filled")), "id", "label", "filled", 2)
+    """Left-handed subjects and twice as many others, by thirds of the number of waves with a grid file (a successful run)."""
+    files = sum((F.col(f"q{q}_success") for q in range(1, 14)), F.lit(0))
+    rows = _recoded(spark, d).where("lateralite IN (1, 2)").join(_wide(spark, d).select("id", files.alias("files")), "id")
+    return training.balanced_by_tertile(rows.select("id", (F.col("lateralite") == 2).cast("int").alias("label"), "files"), "id", "label", "files", 2)
 
 
 def select_waves(spark, d):
     """Waves to show of each training row, in each mode."""
     rows = table(spark, d, "training")
     p, last = F.col("grid_pattern"), F.col("last_avail_q")
-    modes = {"all": {}, "upto_last_avail": {}, "after_last_avail": {"inclusive": False}, "last_available": {}, "custom": {"custom": [7, 2, 7]}}
-    return rows.select("row_id", *(F.concat_ws(",", selection.select_waves(p, last, m, **k)).alias(m) for m, k in modes.items()))
+    modes = {"all": {}, "upto_last_avail": {}, "before_last_avail": {"inclusive": False}, "after_last_avail": {}, "from_last_avail": {"inclusive": False}, "last_available": {}, "custom": {"custom": [7, 2, 7, 0, 99]}}
+    name = {"before_last_avail": "upto_last_avail", "from_last_avail": "after_last_avail"}
+    return rows.select("row_id", *(F.concat_ws(",", selection.select_waves(p, last, name.get(m, m), **k)).alias(m) for m, k in modes.items()))
 
 
 def _training(spark, d):
@@ -218,7 +219,7 @@ def _ranked(key: str, source: str, seed: int = 42) -> str:
 
 
 _GROUPED = "SELECT {key}, CASE WHEN r < n - t - v THEN 'train' WHEN r < n - t THEN 'val' ELSE 'test' END AS split FROM (SELECT *, floor((n - t) * 0.1)::BIGINT AS v FROM (SELECT *, floor(n * 0.1)::BIGINT AS t FROM ({ranked})))"
-_SINGLE = "CASE WHEN r < v THEN 'val' WHEN r <= v + t THEN 'test' ELSE 'train' END AS split FROM (SELECT *, floor((n - t) * 0.1)::BIGINT AS v FROM (SELECT *, floor(n * 0.2)::BIGINT AS t FROM ({ranked})))"
+_SINGLE = "CASE WHEN r < v THEN 'val' WHEN r <= v + t THEN 'test' ELSE 'train' END AS split FROM (SELECT *, floor((n - t) * 0.1)::BIGINT AS v FROM (SELECT *, floor(n * {share})::BIGINT AS t FROM ({ranked})))"
 _TRAINING = f"""SELECT unique_id, {sql.subject("split_part(unique_id, '_', 1)")} AS subject, {sql.subject("regexp_extract(unique_id, '^[^_]*_?(.*)$', 1)")} AS grp,
   max(case_control) AS case_control, min(grid_pattern) AS grid_pattern, min(split) AS split FROM training WHERE unique_id IS NOT NULL GROUP BY unique_id"""
 _WAVES = "list_filter(range(1, 14), lambda q: grid_pattern IS NULL OR substr(grid_pattern, q::INT, 1) = '1')"
@@ -276,14 +277,14 @@ SELECT a.unique_id, a.split, a.case_control, a.last_q, a.rempli_pattern, c.rempl
   {', '.join(f"round(datediff('day', c.exit_date, c.dateq{q}) / 365.25, 6) AS case_dt_dateq{q}" for q in range(1, 14))}
 FROM u a LEFT JOIN u c ON c.match_group = a.match_group AND c.case_control = 1""",
     "assign_sized_splits": f"SELECT id, CASE WHEN r < 20 THEN 'train' WHEN r < 25 THEN 'val' WHEN r < 30 THEN 'test' END AS split FROM ({_ranked('id', f'({_RECODED})')})",
-    "single_split": "SELECT id, " + _SINGLE.format(ranked=_ranked("id", f"(SELECT * FROM ({_RECODED}) WHERE lateralite <> 9)")),
+    "single_split": "SELECT id, " + _SINGLE.format(share=0.2, ranked=_ranked("id", f"(SELECT * FROM ({_RECODED}) WHERE lateralite <> 9)")),
     "tertile_balanced_split": f"""
-WITH x AS (SELECT id AS key, (lateralite = 2)::INT AS label, {' + '.join(f'(dateq{q} IS NOT NULL)::INT' for q in range(1, 14))} AS size FROM ({_RECODED}) WHERE lateralite IN (1, 2)),
+WITH w AS MATERIALIZED ({_WIDE}), x AS (SELECT r.id AS key, (lateralite = 2)::INT AS label, {' + '.join(f'q{q}_success' for q in range(1, 14))} AS size FROM ({_RECODED}) r JOIN w ON w.id = r.id WHERE lateralite IN (1, 2)),
 k AS (SELECT quantile_cont(size, 1.0 / 3) AS a, quantile_cont(size, 2.0 / 3) AS b FROM x), y AS (SELECT x.*, CASE WHEN size <= a THEN 1 WHEN size <= b THEN 2 ELSE 3 END AS bin FROM x, k),
 z AS (SELECT *, count(*) FILTER (WHERE label = 1) OVER (PARTITION BY bin) AS pos, row_number() OVER (PARTITION BY bin, label ORDER BY md5('42|' || key), key) AS i FROM y)
-SELECT key, label, bin, {_SINGLE.format(ranked="SELECT *, row_number() OVER (PARTITION BY bin ORDER BY md5('43|' || key), key) - 1 AS r, count(*) OVER (PARTITION BY bin) AS n FROM z WHERE label = 1 OR i <= 2 * pos")}""",
-    "select_waves": f"""SELECT row_id, array_to_string(w, ',') AS "all", array_to_string(list_filter(w, lambda q: last_avail_q IS NULL OR q <= last_avail_q), ',') AS upto_last_avail,
-  array_to_string(list_filter(w, lambda q: last_avail_q IS NULL OR q > last_avail_q), ',') AS after_last_avail, array_to_string(list_filter(w, lambda q: last_avail_q IS NULL OR q = last_avail_q), ',') AS last_available, '2,7' AS custom
+SELECT key, label, bin, {_SINGLE.format(share=0.1, ranked="SELECT *, row_number() OVER (PARTITION BY bin ORDER BY md5('43|' || key), key) - 1 AS r, count(*) OVER (PARTITION BY bin) AS n FROM z WHERE label = 1 OR i <= 2 * pos")}""",
+    "select_waves": f"""SELECT row_id, array_to_string(w, ',') AS "all", {', '.join(f"array_to_string(list_filter(w, lambda q: last_avail_q IS NULL OR q {o} last_avail_q), ',') AS {n}" for n, o in (('upto_last_avail', '<='), ('before_last_avail', '<'), ('after_last_avail', '>'), ('from_last_avail', '>=')))},
+  coalesce(list_max(w)::VARCHAR, '') AS last_available, '2,7' AS custom
 FROM (SELECT *, {_WAVES} AS w FROM training)""",
     "group_selection": f"""
 WITH t AS (SELECT grp, subject, max(case_control) AS cc FROM ({_TRAINING}) GROUP BY 1, 2), n AS (SELECT *, coalesce(cc, 0) = 1 AS c, row_number() OVER (PARTITION BY grp, coalesce(cc, 0) = 1 ORDER BY subject NULLS LAST) AS i FROM t)

@@ -66,7 +66,7 @@ def mark_first_subjects(spark, d):
 
 
 def sampled_subjects(spark, d):
-    """Ten subjects by hash, with their rows and those lacking a received date."""
+    """Ten subjects by hash, with their rows and those that were removed."""
     rows = _manifest(spark, d).where(F.col(SUBJECT).isNotNull())
     chosen = op.hashed_sample(rows.select(SUBJECT).distinct(), SUBJECT, 10)
     return rows.join(F.broadcast(chosen), SUBJECT, "left_semi").groupBy(SUBJECT).agg(F.count("*").alias("n_files"), F.count_if(F.col("removed_at").isNotNull()).alias("n_removed"))
@@ -113,20 +113,11 @@ def progress_append(spark, d):
     return reconcile.append_new(table(spark, d, "progress"), subject_key(F.col("id")), table(spark, d, "combined_success_ids"), subject_key(F.col(SUBJECT)))
 
 
-def _transfer(spark, d, cap: int):
+def transfer_ledger(spark, d):
+    """The ledger of runs with every (subject, wave) of the manifest that it lacks."""
     key = subject_key(F.col(SUBJECT)).alias("id")
     files = _manifest(spark, d).select(key, "q", "row_id")
-    return reconcile.transfer(files, table(spark, d, "combined_success_ids").select(key, "q").distinct(), ["id", "q"], cap)[1]
-
-
-def transfer_ledger(spark, d):
-    """The ledger of runs with the first 50 (subject, wave) of the manifest that it lacks; `transfer_ledger_all` has all of them."""
-    return _transfer(spark, d, 50)
-
-
-def transfer_ledger_all(spark, d):
-    """The ledger of runs with every (subject, wave) of the manifest that it lacks, as in the reference."""
-    return _transfer(spark, d, 0)
+    return reconcile.transfer(files, table(spark, d, "combined_success_ids").select(key, "q").distinct(), ["id", "q"])[1]
 
 
 def name_matching(spark, d):
@@ -145,7 +136,7 @@ QUERIES = {
     for f in (
         manifest_clean, manifest_audit, files_per_subject, conflicting_names, name_length_distribution, underscore_distribution, shortest_names, fewest_underscores,
         last_subject_of_name, unused_of_cohort, mark_first_subjects, sampled_subjects, resolve_paths, warning_update, id_reconciliation, missing_by_wave,
-        missing_flags, progress_append, transfer_ledger, transfer_ledger_all, name_matching,
+        missing_flags, progress_append, transfer_ledger, name_matching,
     )
 }
 SQL = {
@@ -198,8 +189,7 @@ FROM n a JOIN n b ON a.s <> b.s""",
     "missing_by_wave": f"SELECT coalesce(m.q, s.q) AS q, count(m.key) AS n_expected, count(s.key) AS n_found, count(*) FILTER (WHERE s.key IS NULL) AS n_missing, count(*) FILTER (WHERE m.key IS NULL) AS n_unexpected FROM {_M} m FULL JOIN {_S} s ON m.key = s.key AND m.q = s.q GROUP BY 1",
     "missing_flags": f"SELECT key, {', '.join(f'max((q = {q})::INT) AS q{q}_missing' for q in range(1, 14))} FROM (SELECT * FROM {_M} EXCEPT SELECT * FROM {_S}) GROUP BY key",
     "progress_append": f"SELECT id, false AS processed FROM (SELECT {sql.subject('e3n_id_hand')} AS id FROM combined_success_ids EXCEPT SELECT {sql.subject('id')} FROM progress) WHERE id IS NOT NULL",
-    "transfer_ledger": f"WITH s AS (SELECT DISTINCT {sql.subject('e3n_id_hand')} AS id, q FROM combined_success_ids), m AS (SELECT key AS id, q FROM {_M}) SELECT * FROM s UNION ALL (SELECT * FROM (SELECT * FROM m EXCEPT SELECT * FROM s) ORDER BY id, q LIMIT 50)",
-    "transfer_ledger_all": f"WITH s AS (SELECT DISTINCT {sql.subject('e3n_id_hand')} AS id, q FROM combined_success_ids), m AS (SELECT key AS id, q FROM {_M}) SELECT * FROM s UNION ALL (SELECT * FROM m EXCEPT SELECT * FROM s)",
+    "transfer_ledger": f"WITH s AS (SELECT DISTINCT {sql.subject('e3n_id_hand')} AS id, q FROM combined_success_ids), m AS (SELECT key AS id, q FROM {_M}) SELECT * FROM s UNION ALL (SELECT * FROM m EXCEPT SELECT * FROM s)",
     "name_matching": f"""WITH a AS (SELECT DISTINCT {sql.scan('object_name')} AS n FROM doc_5), b AS (SELECT DISTINCT {sql.scan('object_name')} AS n FROM manifest)
 SELECT coalesce(a.n, b.n) AS name, CASE WHEN a.n IS NULL THEN 'left' ELSE 'right' END AS missing_in FROM (FROM a WHERE n IS NOT NULL) a FULL JOIN (FROM b WHERE n IS NOT NULL) b ON a.n = b.n WHERE a.n IS NULL OR b.n IS NULL""",
 }

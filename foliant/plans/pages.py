@@ -1,7 +1,6 @@
 """Run logs, texts, page assignment, boxes and annotations over the test tables, some of which stand in for scans.
 
-The `part` table's names stand in for texts of pages, `embeddings` for pages' hashes (64 signs, a document per ten), and
-`lineitem`'s numbers for boxes of a page per order.
+The `part` table's names stand in for texts of pages, `embeddings` for pages' hashes (64 signs), and `lineitem`'s numbers for boxes of a page per order.
 """
 
 from __future__ import annotations
@@ -65,9 +64,11 @@ def palette(spark, d):
 def _hashes(spark, d):
     """64 signs against the median of all but the first value, as bits."""
     e = F.col("embedding")
-    rest = F.array_sort(F.slice(e, 2, 63))
-    ones = F.transform(e, lambda x, i: F.when(x > F.get(rest, F.lit(31)), F.shiftleft(F.lit(1).cast("long"), 0) * F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return table(spark, d, "embeddings").select("vec_id", "label", F.aggregate(ones, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)).alias("hash"))
+    median = F.get(F.array_sort(F.slice(e, 2, 63)), F.lit(31))
+    ones = lambda m: F.transform(e, lambda x, i: F.when(x > m, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    bits = lambda m: F.aggregate(ones(m), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    # The median is bound as a variable, as its expression would be sorted again for each value.
+    return table(spark, d, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), F.get(F.transform(F.array(median), bits), F.lit(0)).alias("hash"))
 
 
 def phash_bits(spark, d):
@@ -75,10 +76,12 @@ def phash_bits(spark, d):
 
 
 def _costs(spark, d):
+    """Labels stand for questionnaires: the vectors of a label and a hundred numbers for a document's pages, the first vector of
+    each label and number modulo twelve for a template."""
     h = _hashes(spark, d)
-    doc, page = F.floor(F.col("vec_id") / 10), F.col("vec_id") % 10
-    pages = h.select(doc.alias("doc"), page.alias("page"), F.lit(1).alias("q"), "hash")
-    templates = h.where("vec_id < 12").select(F.lit(1).alias("q"), F.col("vec_id").alias("template"), "hash")
+    doc, page = F.col("label") * 1_000_000_000 + F.floor(F.col("vec_id") / 100), F.col("vec_id") % 100
+    pages = h.select(doc.alias("doc"), page.alias("page"), F.col("label").alias("q"), "hash")
+    templates = h.groupBy(F.col("label").alias("q"), (F.col("vec_id") % 12).alias("template")).agg(F.min_by("hash", "vec_id").alias("hash"))
     return page_matching.hash_costs(pages, templates)
 
 
@@ -130,63 +133,48 @@ def expected_pages(spark, d):
     return page_matching.expected_pages(files, page_matching.questionnaires(spark))
 
 
-def _boxes(spark, d, odd: int):
-    rows = table(spark, d, "lineitem").where(F.col("l_linenumber") % 2 == odd)
-    rows = rows.groupBy("l_orderkey", "l_linenumber").agg(*(F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")))
+def _boxes(spark, d, outer: bool):
+    """Boxes of a page per order, one per line: small ones, or large ones about the same place."""
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*(F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")))
+    off, size = (250, 600) if outer else (0, 40)
     x, y = F.col("l_partkey") % 500, F.col("l_suppkey") % 50 * 10
-    size = F.when(F.lit(odd == 1), F.lit(40)).otherwise(F.lit(600))
-    return rows.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("no"), g.box(x - F.when(F.lit(odd == 0), 250).otherwise(0), y - F.when(F.lit(odd == 0), 250).otherwise(0), x + size, y + F.col("l_quantity")).alias("box"), (F.col("l_returnflag") == "R").alias("partial"))
+    return rows.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("no"), g.box(x - off, y - off, x + size, y + F.col("l_quantity")).alias("box"), (F.col("l_returnflag") == "R").alias("partial"))
 
 
 def box_containment(spark, d):
-    return boxes.smallest_containing(_boxes(spark, d, 1), _boxes(spark, d, 0), ["page"])
+    return boxes.smallest_containing(_boxes(spark, d, False), _boxes(spark, d, True), ["page"])
 
 
 def box_overlap(spark, d):
-    return boxes.covering(_boxes(spark, d, 1), _boxes(spark, d, 0), ["page"]).withColumn("covered", F.round("covered", 9))
+    return boxes.covering(_boxes(spark, d, False), _boxes(spark, d, True), ["page"]).withColumn("covered", F.round("covered", 9))
 
 
 def censor_boxes(spark, d):
-    return boxes.censor_boxes(_boxes(spark, d, 1), _boxes(spark, d, 0), ["page"]).select("page", "inner_no", "outer_no", "partial", "box.*")
+    return boxes.censor_boxes(_boxes(spark, d, False), _boxes(spark, d, True), ["page"]).select("page", "inner_no", "outer_no", "partial", "box.*")
 
 
-def _all_boxes(spark, d):
-    return _boxes(spark, d, 1).unionByName(_boxes(spark, d, 0))
-
-
-def _box_columns(rows):
+def box_columns(spark, d):
+    """Rescaled, enlarged and snapped boxes, and their centres and areas."""
     b, old, new = F.col("box"), (F.lit(600), F.lit(800)), (F.lit(1240), F.lit(1754))
     made = {"scaled": g.rescale(b, old, new), "larger": g.enlarge(b, F.lit(1.5), old), "snapped": g.snap(b, (F.lit(540.0), F.lit(490.0)), (F.lit(700.0), F.lit(900.0)))}
     cols = [F.col(f"{n}.{s}").cast("double").alias(f"{n}_{s}") for n in made for s in g.SIDES]
-    return rows.withColumns(made).select("page", "no", *cols, g.area(b).alias("area"), g.center(b)["x"].alias("cx"), g.center(b)["y"].alias("cy"))
+    return _boxes(spark, d, False).withColumns(made).select("page", "no", *cols, g.area(b).alias("area"), g.center(b)["x"].alias("cx"), g.center(b)["y"].alias("cy"))
 
 
-def box_columns(spark, d):
-    """Rescaled, enlarged and snapped boxes, and their centres and areas; of the inner boxes (odd lines) only."""
-    return _box_columns(_boxes(spark, d, 1))
-
-
-def all_box_columns(spark, d):
-    """`box_columns` of the boxes of all lines."""
-    return _box_columns(_all_boxes(spark, d))
-
-
-def _box_transforms(rows):
+def box_transforms(spark, d):
+    """Boxes shifted, scaled by their number and turned about a point, as corners, and the test of their shape."""
     b = F.col("box")
-    pts = g.similarity(b, g.point(F.lit(10), F.lit(20)), F.lit(1.1), F.lit(3.0), F.lit(-2.0), F.lit(4.0))
-    rows = rows.withColumn("pts", pts)
+    pts = g.similarity(b, g.point(F.lit(10), F.lit(20)), 0.5 + F.col("no") / 5, F.lit(3.0), F.lit(-2.0), F.lit(4.0))
     corner = [F.round(F.get("pts", F.lit(k))[a], 6).alias(f"{a}{k}") for k in range(4) for a in "xy"]
-    return rows.select("page", "no", *corner, g.validity(F.col("pts"), g.width(b), g.height(b)).alias("verdict"))
+    return _boxes(spark, d, False).withColumn("pts", pts).select("page", "no", *corner, g.validity(F.col("pts"), g.width(b), g.height(b)).alias("verdict"))
 
 
-def box_transforms(spark, d):
-    """Boxes shifted, scaled and turned about a point, as corners, with the upright box and the test of their shape; of the inner boxes (odd lines) only."""
-    return _box_transforms(_boxes(spark, d, 1))
-
-
-def all_box_transforms(spark, d):
-    """`box_transforms` of the boxes of all lines."""
-    return _box_transforms(_all_boxes(spark, d))
+def quad_validity(spark, d):
+    """What is wrong with corners that a line's numbers push from those of a square of 100."""
+    a, b = F.col("l_partkey") % 41 - 20, F.col("l_suppkey") % 37 * 4 - 40
+    pts = F.array(g.point(F.lit(0), F.lit(0)), g.point(100 + a, a / 2), g.point(100 + b, 100 - b), g.point(b / 4, F.lit(100)))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", pts.alias("pts"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", g.validity(F.col("pts"), F.lit(100.0), F.lit(100.0)).alias("verdict"))
 
 
 def yolo_rows(spark, d):
@@ -212,15 +200,15 @@ def label_files(spark, d):
     return annotations.label_rows(table(spark, d, "doc_5"), "body", "record_id", CLASSES, r"\\\\|/")
 
 
-_BITS = "SELECT vec_id, embedding AS e, list_sort(embedding[2:64]) AS s FROM embeddings"
-_HASH = f"SELECT vec_id, array_to_string(list_transform(list_reverse(e), lambda x: CASE WHEN x > s[32] THEN '1' ELSE '0' END), '') AS h FROM ({_BITS})"
-_COSTS = f"""SELECT a.vec_id // 10 AS doc, a.vec_id % 10 AS page, b.vec_id AS template, hamming(a.h, b.h)::DOUBLE AS cost FROM ({_HASH}) a, (SELECT * FROM ({_HASH}) WHERE vec_id < 12) b"""
+_BITS = "SELECT vec_id, label, embedding AS e, list_sort(embedding[2:64]) AS s FROM embeddings"
+_HASH = f"SELECT vec_id, label, array_to_string(list_transform(list_reverse(e), lambda x: CASE WHEN x > s[32] THEN '1' ELSE '0' END), '') AS h FROM ({_BITS})"
+_COSTS = f"""SELECT a.label::BIGINT * 1000000000 + a.vec_id // 100 AS doc, a.vec_id % 100 AS page, b.template, hamming(a.h, b.h)::DOUBLE AS cost FROM ({_HASH}) a JOIN (SELECT label, vec_id % 12 AS template, arg_min(h, vec_id) AS h FROM ({_HASH}) GROUP BY 1, 2) b USING (label)"""
 _NAMED = "SELECT e3n_id_hand AS k, q::VARCHAR AS t, nullif(regexp_extract(lower(object_name), 'q0*([0-9]+)', 1), '') AS f FROM manifest"
 
 
-def _box(odd: int) -> str:
-    off, size = (0, 40) if odd else (250, 600)
-    return f"(SELECT l_orderkey AS page, l_linenumber AS no, (l_partkey % 500 - {off})::DOUBLE AS x0, (l_suppkey % 50 * 10 - {off})::DOUBLE AS y0, (l_partkey % 500 + {size})::DOUBLE AS x1, l_suppkey % 50 * 10 + l_quantity AS y1, l_returnflag = 'R' AS partial FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2) WHERE l_linenumber % 2 = {odd})"
+def _box(outer: bool) -> str:
+    off, size = (250, 600) if outer else (0, 40)
+    return f"(SELECT l_orderkey AS page, l_linenumber AS no, (l_partkey % 500 - {off})::DOUBLE AS x0, (l_suppkey % 50 * 10 - {off})::DOUBLE AS y0, (l_partkey % 500 + {size})::DOUBLE AS x1, l_suppkey % 50 * 10 + l_quantity AS y1, l_returnflag = 'R' AS partial FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2))"
 
 
 _COVER = "CASE WHEN (i.x1 - i.x0) * (i.y1 - i.y0) > 0 THEN greatest(least(i.x1, o.x1) - greatest(i.x0, o.x0), 0) * greatest(least(i.y1, o.y1) - greatest(i.y0, o.y0), 0) / ((i.x1 - i.x0) * (i.y1 - i.y0)) ELSE 0 END"
@@ -231,7 +219,7 @@ QUERIES = {
     for f in (
         run_time_stats, longest_runs, last_run_counts, grouped_mode_accuracy, row_accuracy, id_extract, token_similarity, text_comparison, palette, phash_bits, phash_costs,
         page_assignment, assignment_report, assignment_gaps, select_template, discover_template, page_cascade, expected_pages, box_containment, box_overlap, censor_boxes,
-        box_columns, all_box_columns, box_transforms, all_box_transforms, yolo_rows, annotation_pages, annotation_regions, label_files,
+        box_columns, box_transforms, quad_validity, yolo_rows, annotation_pages, annotation_regions, label_files,
     )
 }
 
@@ -242,16 +230,36 @@ def _large(lo: str, hi: str, size: int) -> tuple[str, str]:
 
 
 (_LX0, _LX1), (_LY0, _LY1) = _large("x0", "x1", 600), _large("y0", "y1", 800)
-_TURN = """SELECT page, no, x1 - x0 AS w, y1 - y0 AS h, (x0 + x1) / 2 + 3 AS cx, (y0 + y1) / 2 - 2 AS cy FROM {b}"""
+_TURN = """SELECT page, no, 0.5 + no / 5 AS k, x1 - x0 AS w, y1 - y0 AS h, (x0 + x1) / 2 + 3 AS cx, (y0 + y1) / 2 - 2 AS cy FROM {b}"""
 _ANGLE = "radians(-4)"
 
 
 def _corner(sx: int, sy: int) -> tuple[str, str]:
-    dx, dy = f"(cx + {sx} * w * 1.1 / 2 - 10)", f"(cy + {sy} * h * 1.1 / 2 - 20)"
+    dx, dy = f"(cx + {sx} * w * k / 2 - 10)", f"(cy + {sy} * h * k / 2 - 20)"
     return f"round(10 + {dx} * cos({_ANGLE}) - {dy} * sin({_ANGLE}), 6)", f"round(20 + {dx} * sin({_ANGLE}) + {dy} * cos({_ANGLE}), 6)"
 
 
 _CORNERS = ", ".join(f"{x} AS x{k}, {y} AS y{k}" for k, (x, y) in enumerate(_corner(*s) for s in ((-1, -1), (1, -1), (1, 1), (-1, 1))))
+def _at(k: int) -> tuple[str, str]:
+    return f"x[{k % 4 + 1}]", f"y[{k % 4 + 1}]"
+
+
+def _cross(k: int) -> str:
+    (ax, ay), (bx, by), (cx, cy) = (_at(k), _at(k + 1), _at(k + 2))
+    return f"(({bx} - {ax}) * ({cy} - {by}) - ({by} - {ay}) * ({cx} - {bx}))"
+
+
+def _bend(k: int) -> str:
+    """Degrees that the corner between its neighbours is off a right angle."""
+    (ax, ay), (bx, by), (cx, cy) = (_at(k - 1), _at(k), _at(k + 1))
+    dot, size = f"(({ax} - {bx}) * ({cx} - {bx}) + ({ay} - {by}) * ({cy} - {by}))", f"(sqrt(({ax} - {bx}) ^ 2 + ({ay} - {by}) ^ 2) * sqrt(({cx} - {bx}) ^ 2 + ({cy} - {by}) ^ 2))"
+    return f"abs(degrees(acos(greatest(-1, least(1, {dot} / {size})))) - 90)"
+
+
+_CROSSES, _BENDS = ", ".join(map(_cross, range(4))), ", ".join(map(_bend, range(4)))
+_TWICE = " + ".join(f"x[{k + 1}] * y[{(k + 1) % 4 + 1}] - x[{(k + 1) % 4 + 1}] * y[{k + 1}]" for k in range(4))
+_QUADS = f"""WITH n AS (SELECT *, l_partkey % 41 - 20 AS a, l_suppkey % 37 * 4 - 40 AS b FROM lineitem), q AS (SELECT *, [0, 100.0 + a, 100.0 + b, b / 4] AS x, [0, a / 2, 100.0 - b, 100] AS y FROM n)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN least({_CROSSES}) * greatest({_CROSSES}) < 0 THEN 'convex' WHEN abs({_TWICE}) / 2 NOT BETWEEN 4000 AND 16000 THEN 'area' WHEN greatest({_BENDS}) > 10 THEN 'angle' ELSE 'ok' END AS verdict FROM q"""
 SQL = {
     "run_time_stats": "SELECT count(value) AS n, avg(value) AS mean_time, max(value) AS most_time, count(*) FILTER (WHERE value > 100) AS n_above FROM events",
     "longest_runs": "SELECT event_id, value FROM events WHERE value IS NOT NULL ORDER BY value DESC, event_id LIMIT 5",
@@ -273,16 +281,16 @@ SELECT p_partkey, round(len(list_intersect(a, b)) / len(list_distinct(list_conca
 SELECT a.doc, a.page, a.template, a.cost::BIGINT AS best, b.cost::BIGINT AS second_best, (b.cost - a.cost)::BIGINT AS gap, a.cost::BIGINT AS chosen, b.cost - a.cost >= 5 AND a.cost <= 18 AS ok FROM r a JOIN r b ON a.doc = b.doc AND a.page = b.page WHERE a.i = 1 AND b.i = 2""",
     "select_template": f"SELECT doc, CASE WHEN sum(cost) FILTER (WHERE template < 6) <= sum(cost) FILTER (WHERE template >= 6) THEN 'a' ELSE 'b' END AS variant FROM ({_COSTS}) GROUP BY doc",
     "discover_template": f"SELECT doc, 't' AS variant, template FROM ({_COSTS}) WHERE cost < 28 GROUP BY doc, template QUALIFY row_number() OVER (PARTITION BY doc ORDER BY count(*) DESC, template) = 1",
-    "box_containment": f"SELECT i.page, i.no AS inner_no, arg_min(o.no, (o.x1 - o.x0) * (o.y1 - o.y0) * 1000 + o.no) AS outer_no FROM {_box(1)} i LEFT JOIN {_box(0)} o ON o.page = i.page AND o.x0 <= i.x0 AND o.y0 <= i.y0 AND o.x1 >= i.x1 AND o.y1 >= i.y1 GROUP BY 1, 2",
-    "box_overlap": f"SELECT i.page, i.no AS inner_no, o.no AS outer_no, round({_COVER}, 9) AS covered FROM {_box(1)} i JOIN {_box(0)} o ON o.page = i.page WHERE {_COVER} >= 0.5",
+    "box_containment": f"SELECT i.page, i.no AS inner_no, arg_min(o.no, (o.x1 - o.x0) * (o.y1 - o.y0) * 1000 + o.no) AS outer_no FROM {_box(False)} i LEFT JOIN {_box(True)} o ON o.page = i.page AND o.x0 <= i.x0 AND o.y0 <= i.y0 AND o.x1 >= i.x1 AND o.y1 >= i.y1 GROUP BY 1, 2",
+    "box_overlap": f"SELECT i.page, i.no AS inner_no, o.no AS outer_no, round({_COVER}, 9) AS covered FROM {_box(False)} i JOIN {_box(True)} o ON o.page = i.page WHERE {_COVER} >= 0.5",
     "censor_boxes": f"""SELECT i.page, i.no AS inner_no, o.no AS outer_no, o.partial, CASE WHEN o.partial THEN greatest(i.x0, o.x0) ELSE i.x0 END AS xtl, CASE WHEN o.partial THEN greatest(i.y0, o.y0) ELSE i.y0 END AS ytl,
-  CASE WHEN o.partial THEN least(i.x1, o.x1) ELSE i.x1 END AS xbr, CASE WHEN o.partial THEN least(i.y1, o.y1) ELSE i.y1 END AS ybr FROM {_box(1)} i JOIN {_box(0)} o ON o.page = i.page WHERE {_COVER} >= 0.5""",
+  CASE WHEN o.partial THEN least(i.x1, o.x1) ELSE i.x1 END AS xbr, CASE WHEN o.partial THEN least(i.y1, o.y1) ELSE i.y1 END AS ybr FROM {_box(False)} i JOIN {_box(True)} o ON o.page = i.page WHERE {_COVER} >= 0.5""",
     "box_columns": f"""SELECT page, no, {', '.join(f"trunc({v} * ({n}::DOUBLE / {o}))::DOUBLE AS scaled_{s}" for v, s, n, o in (('x0', 'xtl', 1240, 600), ('y0', 'ytl', 1754, 800), ('x1', 'xbr', 1240, 600), ('y1', 'ybr', 1754, 800)))},
   {_LX0} AS larger_xtl, {_LY0} AS larger_ytl, {_LX1} AS larger_xbr, {_LY1} AS larger_ybr,
   {', '.join(f'{_SNAP.format(v=v, a=a, z=z)} AS snapped_{s}' for v, s, a, z in (('x0', 'xtl', 540, 700), ('y0', 'ytl', 490, 900), ('x1', 'xbr', 540, 700), ('y1', 'ybr', 490, 900)))},
-  (x1 - x0) * (y1 - y0) AS area, floor((x0 + x1) / 2) AS cx, floor((y0 + y1) / 2) AS cy FROM {_box(1)}""",
-    "box_transforms": f"SELECT page, no, {_CORNERS}, 'ok' AS verdict FROM ({_TURN.format(b=_box(1))})",
+  (x1 - x0) * (y1 - y0) AS area, floor((x0 + x1) / 2) AS cx, floor((y0 + y1) / 2) AS cy FROM {_box(False)}""",
+    "box_transforms": f"SELECT page, no, {_CORNERS}, CASE WHEN k * k < 0.4 OR k * k > 1.6 THEN 'area' ELSE 'ok' END AS verdict FROM ({_TURN.format(b=_box(False))})",
+    "quad_validity": _QUADS,
     "yolo_rows": """SELECT l_orderkey, l_linenumber, round((l_quantity + l_tax * 100 / 2) / 100, 9) AS xc, round((l_discount * 100 + (l_linenumber + 1) / 2) / 100, 9) AS yc, round(l_tax, 9) AS w, round((l_linenumber + 1) / 100, 9) AS h,
   round(l_quantity, 6) AS back_x, round(l_discount * 100, 6) AS back_y, round(l_tax * 100, 6) AS back_width, (l_linenumber + 1)::DOUBLE AS back_height FROM lineitem""",
 }
-SQL |= {f"all_{name}": SQL[name].replace(_box(1), f"(SELECT * FROM {_box(1)} UNION ALL SELECT * FROM {_box(0)})") for name in ("box_columns", "box_transforms")}

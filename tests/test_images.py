@@ -3,6 +3,7 @@
 import numpy as np
 from foliant.functions import kernels as k
 from foliant.operators import images, tokens
+from pyspark.sql import functions as F
 
 IMAGE = "id int, height int, width int, n_channels int, data binary"
 
@@ -40,4 +41,6 @@ def test_special_ids(spark):
     ]
     df = spark.createDataFrame(data, "page int, pos int, text string, conf double, left int, top int, width int, height int")
     assert {r.page: r.id for r in tokens.special_ids(df).collect()} == {1: "1234567", 2: "7654321"}
+    unsure = df.withColumn("conf", F.when(df.text.isin("1234567", "7654321"), df.conf).otherwise(50.0))
+    assert {r.page: r.id for r in tokens.special_ids(unsure).collect()} == {2: "7654321"}
     assert tokens.numeric(df.withColumn("conf", df.conf - 39.5)).count() == 0

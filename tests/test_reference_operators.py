@@ -40,7 +40,7 @@ def test_reconcile(spark):
 
 
 def test_transfer(spark):
-    """All keys that the ledger lacks, or the first of each wave, as the reference caps them."""
+    """All keys that the ledger lacks, or the first of each wave."""
     new = [(f"{k:03}", q) for q in (1, 2, 5) for k in range(60 if q == 1 else 3)]
     files = spark.createDataFrame([*new, *new[:5], (None, 1), ("900", 2)], "id string, q int")
     ledger = spark.createDataFrame([("900", 2)], "id string, q int")
@@ -56,7 +56,7 @@ def test_transfer_ledger_has_all_new_keys(spark):
     scans, ledger = (spark.read.parquet(f"{SMALL}/{name}.parquet").select(key, "q").distinct() for name in ("manifest", "combined_success_ids"))
     want = scans.dropna().subtract(ledger)
     assert want.count() > 50
-    assert manifests.transfer_ledger_all(spark, SMALL).count() == ledger.count() + want.count()
+    assert manifests.transfer_ledger(spark, SMALL).count() == ledger.count() + want.count()
 
 
 def test_days_and_codes(spark):
@@ -121,7 +121,7 @@ def test_selection(spark):
     df = spark.createDataFrame([("u_1", "0110000000001", 3), ("v", None, None)], "unique_id string, p string, last int")
     pick = lambda *a, **kw: [r[0] for r in df.select(selection.select_waves(F.col("p"), F.col("last"), *a, **kw)).collect()]
     assert pick("all")[0] == [2, 3, 13] and pick("all")[1] == list(range(1, 14))
-    assert pick("upto_last_avail", inclusive=False)[0] == [2] and pick("after_last_avail")[0] == [3, 13] and pick("last_available")[0] == [3] and pick("custom", custom=[9, 1, 9])[0] == [1, 9]
+    assert pick("upto_last_avail", inclusive=False)[0] == [2] and pick("after_last_avail")[0] == [13] and pick("after_last_avail", inclusive=False)[0] == [3, 13] and pick("last_available") == [[13], [13]] and pick("custom", custom=[9, 1, 9, 0, 99])[0] == [1, 9]
     assert [tuple(r) for r in df.select(selection.subject_of(F.col("unique_id")), selection.group_of(F.col("unique_id"))).collect()] == [("u", "1"), ("v", "")]
     m = spark.createDataFrame([("g", s, c) for s, c in (("3", 0), ("1", 0), ("2", 0), ("9", 1), ("8", None))], "g string, s string, c int")
     assert [r.s for r in selection.select_group(m, "g", "s", "c").orderBy("position").collect()] == ["9", "1", "2"]
@@ -191,7 +191,7 @@ def test_box_joins(spark):
 def test_single_boxes_of_all_lines(spark):
     lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct()
     assert lines.where("l_linenumber % 2 = 0").count() > 0
-    for query in (pages.all_box_columns, pages.all_box_transforms):
+    for query in (pages.box_columns, pages.box_transforms):
         assert rows(query(spark, SMALL).select("page", "no")) == rows(lines)
 
 
