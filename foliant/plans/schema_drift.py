@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import schema_drift as op
 from ..session import table
@@ -14,9 +13,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_unified(spark: SparkSession, d: str) -> DataFrame:
-    records = table(spark, d, "doc_5_export")
-    names = op.canonical_names(op.changes(records))
-    return op.unify(records, names).withColumn("fields", F.to_json("fields"))
+    """All records in one table of typed columns."""
+    return op.unified(table(spark, d, "doc_5_export"))[0]
 
 
 QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified}
