@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 def hot_keys(df: DataFrame, by: Sequence[str], share: float = 1 / 256) -> DataFrame:
     """Keys that hold more than a share of the rows: fewer than 1 / share rows, whatever the data."""
     counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    return counts.where(F.col("_n") > max(1000, total * share)).select(*by, F.lit(True).alias("_hot"))
+    return counts.where(F.col("_n") > max(1000, df.count() * share)).select(*by, F.lit(True).alias("_hot"))
 
 
 def salted(df: DataFrame, by: Sequence[str], hot: DataFrame, spread: Column, salts: int = 64) -> DataFrame:
