@@ -37,6 +37,8 @@ def members(spark, rows):
 def test_connected(spark, monkeypatch, hot):
     if hot:
         monkeypatch.setattr(op, "hot_keys", lambda df, by: df.groupBy(*by).count().where("count > 3").select(*by, F.lit(True).alias("_hot")))
+        divided = op.divided
+        monkeypatch.setattr(op, "divided", lambda links: divided(links, 1e-9, 3))
     rng = random.Random(4)
     pick = lambda p, n: None if rng.random() < 0.2 else f"{p}{rng.randrange(n) if rng.random() < 0.8 else 0}"
     rows = [(k, pick("x", 90), pick("y", 70), rng.choice(["Train ", "validation", "VAL", "test", None, "?"]), rng.choice([0, 1, None]), 1) for k in range(100, 260)]
@@ -106,6 +108,23 @@ def test_few_sets_of_a_kind_reach_all_splits(spark):
     assert all(abs(got[s] - share) < 0.03 for s, share in SHARES.items()), got
 
 
+def test_divided_entities(spark):
+    """A hot entity becomes many small ones that still connect all that it did."""
+    links = spark.range(1000).select(F.col("id").alias("label"), F.when(F.col("id") < 600, "hot").otherwise(F.concat(F.lit("e"), F.col("id").cast("string"))).alias("entity"))
+    out = op.divided(links, 0.01, 1)
+    assert out.groupBy("entity").count().agg(F.max("count")).first()[0] < 61
+    hot = out.where("entity LIKE 'hot%'")
+    assert hot.where("entity <> 'hot'").count() == 600 and hot.where("entity = 'hot'").count() == hot.where("entity <> 'hot'").select("entity").distinct().count() == 60
+    ids = spark.range(5000).select(op._mixed(F.col("id") - 2500).alias("m"))
+    assert ids.distinct().count() == 5000
+
+
+def test_too_many_labels(spark):
+    df = spark.range(20).select(F.col("id").alias("record_id"), F.col("id").alias("set_id"), F.col("id").alias("label"))
+    with pytest.raises(ValueError):
+        op.assign_splits(df.select("record_id", "set_id"), df.select("record_id", "label"), SHARES, most_labels=19)
+
+
 def test_empty(spark):
     _, m = members(spark, [])
     assert m.collect() == []
