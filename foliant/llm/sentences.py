@@ -1,9 +1,11 @@
 """Sentence boundaries across languages and scripts, by a finite transducer over boundary symbols.
 
-Each mark of a text becomes a symbol by what stands near it: at most `CONTEXT` characters on either side. The transducer
-carries what no bounded context tells: whether a unit is open, which quotation is, whether that began the unit, and
-whether the line is of a list. A chunk of a text is a function from state to state, so the chunks of a long text are read
-apart and their functions composed by a prefix scan; each chunk's units then follow from the state before it.
+Each mark of a text becomes a symbol by what stands near it: at most `CONTEXT` characters on either side. What no bounded
+context tells is carried. From the right, an automaton tells which closing marks are still to come in the paragraph,
+however far away, so that a mark without a partner opens nothing. From the left, the transducer knows whether a unit is
+open, which quotation is, whether that began the unit, and whether the line is of a list. A chunk of a text is a function
+of either, so chunks are read apart and their functions composed by a scan; each chunk's units then follow from the
+states at its ends. Every text is read in chunks; those of a very long one in tasks of their own.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONTEXT = 1024
-#: Longest quotation that can hold stops, and the characters of a line that a wrap leaves at least.
-QUOTED, WRAPPED = 600, 50
+CONTEXT = 2048
+#: Characters of a chunk in a task's own texts, and of a chunk that is a row of its own.
+CHUNK, ROW = 2048, 1 << 16
+#: Characters of a line that a wrap leaves at least, and of a line beyond which its beginning no longer matters.
+WRAPPED, LONG_LINE = 50, 900
 
 # Common abbreviations in lower case without their last stop. The first never end a sentence inside a line;
 # the second end one if the next word begins like a sentence.
@@ -41,6 +45,10 @@ BLANK = r"\s\u200b\u2060\ufeff"
 STOPS = ".!?…。！？｡।॥؟;\u037e"
 PAIRS = ("«»", "“”", "„“", "„”", "「」", "『』", "‹›", '""', "»«")
 QUOTES = "".join(sorted({c for p in PAIRS for c in p}))
+#: Closing marks as bits; two of them can close the same opening one.
+CLOSING = {c: 1 << k for k, c in enumerate(sorted({p[1] for p in PAIRS}))}
+OPENED_BY = {c: [i for i, p in enumerate(PAIRS) if p[0] == c] for c in QUOTES}
+CLOSED_BY = {c: [i for i, p in enumerate(PAIRS) if p[1] == c] for c in QUOTES}
 THAI = r"฀-๿"
 CJK = r"぀-ヿ㐀-䶿一-鿿豈-﫿"
 LINE_END = r"(?:\r\n|[\r\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
@@ -52,16 +60,23 @@ HAS_THAI = re.compile(f"[{THAI}]")
 FIRST = re.compile(rf"[^{BLANK}]")
 CLOSERS = re.compile(r"[)\]}）］】〉》’'”»]*")
 LINES = re.compile(LINE_END)
+_BREAKS = frozenset("\r\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029")
 BULLET = re.compile(rf"(?:[-–—•*·・▪◦‣►■□○●✓✔][{BLANK}]|[・•])")
 NUMBERED = re.compile(rf"\(?(?:\d{{1,3}}|[a-zA-Z]|[ivx]{{1,5}})(?:\)[{BLANK}]|[、．])|[①-⑳]")
 POINTED = re.compile(rf"\d{{1,3}}\.[{BLANK}]+\S")
 LAST_WORD = re.compile(r"[^\W_]+(?:[.\-'’][^\W_]+)*$")
+NAME, FILE_NAME, TEXT_WORD, NEXT_WORD = re.compile(r"[^\s]+"), re.compile(r"[^\W\d_]+\d+_|\w+_\w+\.\w"), re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_]+\.?")
+GREEK, INDIC, OF_CJK, AFTER_ASKED = re.compile(r"[Ͱ-Ͽἀ-῿]"), re.compile(r"[ऀ-෿]"), re.compile(f"[{CJK}]"), re.compile(f"[{CJK}{QUOTES}¿¡)’']")
+DATE, MERIDIEM, ENDS_CJK, BEGINS_CJK, LOW_NAME = re.compile(r"\d{1,2}\.\s?\d{2,4}\b"), re.compile(r"(?:\b[ap]\. ?m|[πμ]\. ?μ)$"), re.compile(f"[{CJK}]$"), re.compile(f"[{CJK}「『“]"), re.compile(r"[a-z]\d+_")
+ENDS_THAI, THAI_SIGN, THAI_DIGIT, BEYOND = re.compile(f"[{THAI}]$"), re.compile(r"[\d๐-๙.]"), re.compile(r"[๐-๙]"), re.compile(r"[\d.,:]+[^\S\r\n]*([^\W\d_])")
+WORD_END, WORD_START, PARTICLE = re.compile(r"\S*$"), re.compile(r"\S*"), re.compile(r"(?:と|って|という|との|とか|を|に|が|は|の|も|で|等|など)")
 ENDING = re.compile(rf"[.!?…。！？｡।॥؟][{re.escape(QUOTES)}’')\]）]*$")
 
-SYMBOLS = ["text", "stop", "hard", "break", "list", "thai", *(f"{k}{i}" for i in range(len(PAIRS)) for k in ("open", "close", "last"))]
+SYMBOLS = ["text", "stop", "hard", "break", "list", "thai", "swap", "swaplast", *(f"{k}{i}" for i in range(len(PAIRS)) for k in ("open", "close", "last"))]
 SYMBOL = {s: k for k, s in enumerate(SYMBOLS)}
 #: Unit open, quotation open (0 none), it began the unit, line of a list.
 STATES = [s for s in product((0, 1), range(len(PAIRS) + 1), (0, 1), (0, 1)) if s[1] or not s[2]]
+QUOTE, PARAGRAPH, STOP = -1, -2, SYMBOL["stop"]
 STATE = {s: k for k, s in enumerate(STATES)}
 START, STARTS, ENDS_BEFORE, ENDS_AFTER = STATE[0, 0, 0, 0], 1, 2, 4
 
@@ -76,6 +91,8 @@ def _step(state: tuple, symbol: str) -> tuple[tuple, int]:
     if symbol == "thai":
         return ((0, 0, 0, 0), ENDS_BEFORE) if is_open and not quote and not listed else (state, 0)
     begins = STARTS * (1 - is_open)
+    if symbol[:4] == "swap":  # opens in the German manner, or closes in the French one
+        symbol = "open8" if not quote else ("last0" if symbol == "swaplast" else "close0") if quote == 1 else "text"
     if symbol[:-1] == "open" and not quote:
         return (1, int(symbol[-1]) + 1, 1 - is_open, listed), begins
     if symbol[:-1] in ("close", "last") and quote == int(symbol[-1]) + 1:
@@ -105,8 +122,8 @@ def _like_start(text: str, at: int) -> bool:
     """Whether what stands at a position can begin a sentence: no lower-case word, but a name of a file may."""
     c = text[at]
     if c.islower():
-        m = re.compile(r"[^\s]+").match(text, at, at + 60)
-        return bool(re.match(r"[^\W\d_]+\d+_|\w+_\w+\.\w", m[0]))
+        m = NAME.match(text, at, at + 60)
+        return bool(FILE_NAME.match(m[0]))
     return c.isalnum() or c in "¿¡([（【#§" + QUOTES
 
 
@@ -119,9 +136,9 @@ def _is_stop(text: str, a: int, b: int) -> bool:
     m = FIRST.search(text, b, min(size, b + 200))
     follows = m.start() if m else size
     if ";" in mark or "\u037e" in mark:  # the Greek question mark
-        return bool(re.match(r"[Ͱ-Ͽἀ-῿]", before)) and (follows > b or follows == size) and set(mark) <= set(";\u037e!?")
+        return bool(GREEK.match(before)) and (follows > b or follows == size) and set(mark) <= set(";\u037e!?")
     if "!" in mark or "?" in mark:
-        return follows > b or follows >= size or text[b].isupper() or bool(re.match(f"[{CJK}{QUOTES}¿¡)’']", text[b]))
+        return follows > b or follows >= size or text[b].isupper() or bool(AFTER_ASKED.match(text[b]))
     if "…" in mark or len(mark) > 1:  # dots of omission
         if follows >= size:
             return True
@@ -134,7 +151,7 @@ def _is_stop(text: str, a: int, b: int) -> bool:
             word = _word_before(text, a)
             return (len(word) > 2 or word.isdigit()) and "." not in word and word.lower() not in INSIDE
         return text[b] in ")]’'”»" and _after_closers(text, b)
-    if re.match(r"[ऀ-෿]", before):  # these scripts end sentences with a danda
+    if INDIC.match(before):  # these scripts end sentences with a danda
         return False
     word = _word_before(text, a)
     low = word.lower()
@@ -153,9 +170,9 @@ def _is_stop(text: str, a: int, b: int) -> bool:
     if "." in word and all(len(x) <= 2 for x in word.split(".")) and not word[-1].isdigit():
         return False
     if word.isdigit() and len(word) <= 2:
-        if re.compile(r"\d{1,2}\.\s?\d{2,4}\b").match(text, follows):
+        if DATE.match(text, follows):
             return False
-        next_word = re.compile(r"[^\W\d_]+\.?").match(text, follows)
+        next_word = NEXT_WORD.match(text, follows)
         earlier = _word_before(text, _end_before(text, a - len(word)))
         if next_word and (next_word[0].lower() in MONTHS or earlier.lower() in BEFORE_ORDINAL and _german(text, follows)):
             return False
@@ -170,12 +187,12 @@ def _end_before(text: str, at: int) -> int:
 
 
 def _german(text: str, at: int) -> bool:
-    m = re.compile(r"[^\W\d_]+").match(text, at, at + 40)
+    m = TEXT_WORD.match(text, at, at + 40)
     return bool(m) and m[0][0].isupper()
 
 
 def _meridiem(text: str, a: int) -> bool:
-    return bool(re.search(r"(?:\b[ap]\. ?m|[πμ]\. ?μ)$", text[max(0, a - 6) : a]))
+    return bool(MERIDIEM.search(text[max(0, a - 6) : a]))
 
 
 def _begins(text: str, at: int) -> bool:
@@ -190,11 +207,24 @@ def _after_closers(text: str, b: int) -> bool:
     return not m or m.start() > e and _like_start(text, m.start())
 
 
+def _line_start(text: str, a: int) -> int:
+    """Where the line that ends at a position begins; -1 if it is longer than LONG_LINE."""
+    least = max(0, a - LONG_LINE)
+    at = a
+    while at > least:
+        if text[at - 1] in _BREAKS:
+            return at
+        at -= 1
+    return 0 if not at else -1
+
+
 def _line_symbol(text: str, a: int, b: int, depth: int = 0) -> str | None:
     """What the blanks text[a:b], which hold line ends, do; None if they only wrap a line."""
-    start = max((m.end() for m in LINES.finditer(text, max(0, a - 400), a)), default=max(0, a - 400))
+    start = _line_start(text, a)
+    whole = start >= 0
+    start = max(start, a - LONG_LINE, 0)
     line = text[start:a].strip()
-    listed = _is_list(line)
+    listed = whole and _is_list(line)
     if listed and depth < 4 and POINTED.match(line):  # a number that a wrap put at the line's beginning makes no list
         first = FIRST.search(text, start, a).start()
         listed = not start or _line_symbol(text, _end_before(text, start), first, depth + 1) is not None
@@ -219,13 +249,13 @@ def _line_symbol(text: str, a: int, b: int, depth: int = 0) -> str | None:
         return "break"
     if ended:
         return None  # the stop itself decides
-    if re.search(f"[{CJK}]$", line) and re.match(f"[{CJK}「『“]", after):
+    if ENDS_CJK.search(line) and BEGINS_CJK.match(after):
         return "break" if len(line) < 25 else None
-    if re.search(f"[{THAI}]", line):
-        return _thai(text, a, b) if re.search(f"[{THAI}]$", line) or not len(line) < 30 else "break"
+    if HAS_THAI.search(line):
+        return _thai(text, a, b) if ENDS_THAI.search(line) or not len(line) < 30 else "break"
     if line[-1] in "-\u00ad" and after[0].islower():
         return None
-    if after[0].islower() and not re.match(r"[a-z]\d+_", after):
+    if after[0].islower() and not LOW_NAME.match(after):
         return None if long or len(line) > 12 else "break"
     if not long or len(line) > 95 and not after[0].isdigit():
         return "break"
@@ -238,37 +268,74 @@ def _is_list(line: str) -> bool:
 
 def _thai(text: str, a: int, b: int) -> str | None:
     """Thai ends its sentences with a blank; one beside a number, a sign or an abbreviation ends none."""
-    before = re.search(r"\S*$", text[max(0, a - 60) : a])[0]
-    after = re.compile(r"\S*").match(text, b, b + 60)[0]
-    if not re.search(f"[{THAI}]$", before) or re.search(r"[\d๐-๙.]", before) or not after or after[0] == "ๆ":
+    before = WORD_END.search(text[max(0, a - 60) : a])[0]
+    after = WORD_START.match(text, b, b + 60)[0]
+    if not ENDS_THAI.search(before) or THAI_SIGN.search(before) or not after or after[0] == "ๆ":
         return None
-    if re.match(f"[{THAI}]", after):
-        return None if "." in after or re.search(r"^[๐-๙]", after) else "thai"
+    if HAS_THAI.match(after):
+        return None if "." in after or THAI_DIGIT.match(after) else "thai"
     if after[0].isdigit():  # a number belongs to the script after it
-        beyond = re.compile(r"[\d.,:]+[^\S\r\n]*([^\W\d_])").match(text, b, b + 60)
+        beyond = BEYOND.match(text, b, b + 60)
         return "thai" if beyond and not HAS_THAI.match(beyond[1]) else None
     return "thai" if after[0].isalpha() and not after[0].islower() or after[0] in "¿¡" + QUOTES else None
 
 
-def _quote_symbol(text: str, a: int) -> str:
-    """The part that a quotation mark plays, if its partner stands near in the same paragraph; else it is text."""
+#: What a chunk tells of closing marks to come: whether it holds a paragraph's end, the marks before that, and the first of those that close „.
+Ahead = tuple[bool, int, str]
+NOTHING_AHEAD: Ahead = (False, 0, "")
+
+
+def beyond(own: Ahead, right: Ahead) -> Ahead:
+    """What a chunk and those right of it tell together."""
+    return own if own[0] else (right[0], own[1] | right[1], own[2] or right[2])
+
+
+def _quote_symbol(text: str, a: int, marks: int, first: str) -> str:
+    """The part that a quotation mark plays, given the closing marks after it in the paragraph."""
     c, size = text[a], len(text)
     before = text[a - 1] if a else " "
-    opens = a + 1 < size and (c != '"' or (before.isspace() or before in "([（¿¡—–'’" or bool(re.match(f"[{CJK}]", before))) and not text[a + 1].isspace())
+    opens = a + 1 < size and (c != '"' or (before.isspace() or before in "([（¿¡—–'’" or bool(OF_CJK.match(before))) and not text[a + 1].isspace())
     if opens:
-        paragraph = re.compile(rf"{LINE_END}[ \t]*{LINE_END}").search(text, a, min(size, a + QUOTED))
-        limit = paragraph.start() if paragraph else min(size, a + QUOTED)
-        found = [(e, i) for i, p in enumerate(PAIRS) if p[0] == c and (e := text.find(p[1], a + 1, limit)) > 0]
+        pairs = [i for i in OPENED_BY[c] if marks & CLOSING[PAIRS[i][1]]]
         if c == "»":  # opens only in the German manner, at a word's beginning
-            found = [x for x in found if (before.isspace() or not a) and not text[a + 1].isspace() and text.rfind("«", max(0, a - QUOTED), a) <= text.rfind("»", max(0, a - QUOTED), a)]
-        if found:
-            return f"open{min(found)[1]}"
-    own = [i for i, p in enumerate(PAIRS) if p[1] == c]
-    return f"close{own[0]}" if own else "text"
+            if pairs and before.isspace() and not text[a + 1].isspace():
+                return "swaplast" if _last(text, a) else "swap"
+        elif pairs:
+            return f"open{next((i for i in pairs if PAIRS[i][1] == first), pairs[0])}"
+    return "close" if CLOSED_BY[c] else "text"
+
+
+def with_quotes(text: str, tokens: list[tuple], right: Ahead = NOTHING_AHEAD) -> tuple[list[tuple[int, int, int]], Ahead]:
+    """Tokens with the parts of their quotation marks, read from the right, and what they tell of closing marks."""
+    out, (ended, marks, first) = [], right
+    own = NOTHING_AHEAD
+    for token in reversed(tokens):
+        symbol, a, b = token
+        if symbol == PARAGRAPH:
+            ended, marks, first, own = True, 0, "", (True, 0, "")
+        elif symbol != QUOTE:
+            if symbol == STOP and b - a > 1:
+                for c in reversed(text[a:b]):
+                    if c in CLOSING:
+                        marks, own = marks | CLOSING[c], (own[0], own[1] | CLOSING[c], c if c in "“”" else own[2])
+                        first = c if c in "“”" else first
+            out.append(token)
+        else:
+            c, s = text[a], _quote_symbol(text, a, marks, first)
+            if s == "close":
+                last = _last(text, a)
+                out += [(SYMBOL[f"{'last' if last else 'close'}{i}"], a, b) for i in reversed(CLOSED_BY[c])]
+            else:
+                out.append((SYMBOL[s], a, b))
+            if c in CLOSING:
+                marks, own = marks | CLOSING[c], (own[0], own[1] | CLOSING[c], c if c in "“”" else own[2])
+                first = c if c in "“”" else first
+    return out[::-1], own
 
 
 def symbols(text: str, begin: int = 0, end: int | None = None) -> list[tuple[int, int, int]]:
-    """(symbol, start, stop) of the tokens that begin in text[begin:end]; the text around serves as context."""
+    """(symbol, start, stop) of the tokens that begin in text[begin:end], quotation marks and ends of paragraphs as such; the
+    text around serves as context."""
     end = len(text) if end is None else end
     out = []
     thai = bool(HAS_THAI.search(text))
@@ -291,6 +358,8 @@ def symbols(text: str, begin: int = 0, end: int | None = None) -> list[tuple[int
         elif kind == "line":
             if s := _line_symbol(text, a, b):
                 add(s, a, b)
+            if len(LINES.findall(text, a, b)) > 1:
+                out.append((PARAGRAPH, a, b))
         elif kind == "blank":
             if s := _thai(text, a, b):
                 add(s, a, b)
@@ -302,13 +371,7 @@ def symbols(text: str, begin: int = 0, end: int | None = None) -> list[tuple[int
             else:
                 add("text", a, b)
         else:
-            s = _quote_symbol(text, a)
-            if s[:5] == "close":
-                for i, p in enumerate(PAIRS):
-                    if p[1] == text[a]:
-                        add(f"{'last' if _last(text, a) else 'close'}{i}", a, b)
-            else:
-                add(s, a, b)
+            out.append((QUOTE, a, b))
     return out
 
 
@@ -320,8 +383,8 @@ def _last(text: str, a: int) -> bool:
     m = FIRST.search(text, a + 1, min(len(text), a + 200))
     if not m:
         return True
-    if re.match(f"[{CJK}]", text[m.start()]):
-        return not re.match(r"(?:と|って|という|との|とか|を|に|が|は|の|も|で|等|など)", text[m.start() : m.start() + 2])
+    if OF_CJK.match(text[m.start()]):
+        return not PARTICLE.match(text[m.start() : m.start() + 2])
     return _like_start(text, m.start()) and text[m.start()] not in "(["
 
 
@@ -371,88 +434,120 @@ def _units(text: str, marks: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if any(c.isalnum() for c in text[a:b])]
 
 
-def units(text: str) -> list[tuple[int, int]]:
-    """The sentence units of a text."""
-    return _units(text, read(text, symbols(text))[1])
+def units(text: str, chunk: int = CHUNK) -> list[tuple[int, int]]:
+    """The sentence units of a text, read in chunks."""
+    tokens, _ = with_quotes(text, symbols(text))
+    if len(text) <= chunk:
+        return _units(text, read(text, tokens)[1])
+    parts: list[list] = [[] for _ in range(len(text) // chunk + 1)]
+    for t in tokens:
+        parts[t[1] // chunk].append(t)
+    states = scan(np.array([function(p) for p in parts]))
+    return _units(text, [m for p, state in zip(parts, states.tolist(), strict=True) for m in read(text, p, state)[1]])
 
 
 UNIT = "doc_id long, start_char long, end_char long"
 
 
-def sentence_units(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", chunk_chars: int = 1 << 16) -> DataFrame:
+def _record(names: str, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * len(names.split()))], names=names.split())
+
+
+def sentence_units(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", row_chars: int = ROW) -> DataFrame:
     """One row per unit: `doc_id, start_char, end_char`, code points from 0, end exclusive.
 
-    Texts of up to `chunk_chars` are read whole where they lie. Longer ones are cut into chunks that tasks read apart: first
-    for their functions, of which a text has one small array per chunk, then, from the scanned states, for their units. Null and
-    blank texts, and units without a letter or digit, give no rows. Repeated ids give the rows of each text; of long
-    texts with one id, those that are alike count once.
+    Texts of up to `row_chars` are read where they lie, in chunks of `CHUNK`. Longer ones are cut into rows that tasks read
+    apart: first for the closing marks that they hold, then for their functions, of both of which a text has a few numbers per row, then,
+    from the scanned states, for their units. Null and blank texts, and units without a letter or digit, give no rows.
+    Repeated rows each give theirs.
     """
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
 
     def whole(batches):
         for batch in batches:
-            ids, starts, ends = [], [], []
-            for d, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for a, b in units(t):
-                    ids.append(d)
-                    starts.append(a)
-                    ends.append(b)
-            yield pa.record_batch([pa.array(x, pa.int64()) for x in (ids, starts, ends)], names=["doc_id", "start_char", "end_char"])
-
-    short = docs.where(F.length("text") <= chunk_chars).mapInArrow(whole, UNIT)
-    long = docs.where(F.length("text") > chunk_chars).withColumn("digest", F.xxhash64("text")).dropDuplicates(["doc_id", "digest"])
-    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.length("text").cast("long") - 1, F.lit(chunk_chars).cast("long")))
-    chunks = long.select("doc_id", "digest", "text", begin.alias("begin")).select(
-        "doc_id", "digest", "begin", F.greatest(F.lit(0).cast("long"), F.col("begin") - CONTEXT).alias("base"),
-        F.expr(f"substring(text, int(greatest(0, begin - {CONTEXT}) + 1), int(begin - greatest(0, begin - {CONTEXT}) + {chunk_chars + CONTEXT}))").alias("part"),
-    ).repartition("doc_id", "digest", "begin")
+            yield _record("doc_id start_char end_char", [(d, a, b) for d, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for a, b in units(t)])
+
+    short = docs.where(F.length("text") <= row_chars).mapInArrow(whole, UNIT)
+    by = ["doc_id", "digest"]
+    # Repeated rows are read once and given as often as they come. A null id is an id.
+    long = docs.where(F.length("text") > row_chars).withColumn("digest", F.md5("text")).withColumn("id", F.col("doc_id")).withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("long")))
+    long = long.groupBy(*by, F.col("id").isNull().alias("none")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    by = [*by, "none"]
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.length("text").cast("long") - 1, F.lit(row_chars).cast("long")))
+    chunks = long.select(*by, "text", begin.alias("begin")).select(
+        *by, "begin", F.greatest(F.lit(0).cast("long"), F.col("begin") - CONTEXT).alias("base"),
+        F.expr(f"substring(text, int(greatest(0, begin - {CONTEXT}) + 1), int(begin - greatest(0, begin - {CONTEXT}) + {row_chars + CONTEXT}))").alias("part"),
+    ).repartition(*by, "begin")
 
     def tokens_of(part: str, begin: int, base: int) -> list[tuple[int, int, int]]:
         lead = begin - base
-        return _whole_tokens(part, lead, min(len(part), lead + chunk_chars), first=base == 0 and begin == 0)
+        return _whole_tokens(part, lead, min(len(part), lead + row_chars), first=base == 0 and begin == 0)
+
+    keys = "doc_id long, digest string, none boolean, begin long"
+    ahead = "struct<ended:boolean,marks:int,first:string>"
+
+    def told(batches):
+        kind = pa.struct([("ended", pa.bool_()), ("marks", pa.int32()), ("first", pa.string())])
+        for batch in batches:
+            begins, bases, parts = (c.to_pylist() for c in batch.columns[3:])
+            own = [with_quotes(p, tokens_of(p, a, z))[1] for p, a, z in zip(parts, begins, bases, strict=True)]
+            made = [{"ended": e, "marks": m, "first": f} for e, m, f in own]
+            yield pa.record_batch([*batch.columns[:4], pa.array(made, kind)], names=[*by, "begin", "own"])
+
+    def from_right(batches):
+        for batch in batches:
+            out = []
+            for lists in batch.column(3).to_pylist():
+                right, rows = NOTHING_AHEAD, []
+                for x in reversed(lists):
+                    rows.append({"begin": x["begin"], "ended": right[0], "marks": right[1], "first": right[2]})
+                    right = beyond((x["own"]["ended"], x["own"]["marks"], x["own"]["first"]), right)
+                out.append(rows)
+            kind = pa.list_(pa.struct([("begin", pa.int64()), ("ended", pa.bool_()), ("marks", pa.int32()), ("first", pa.string())]))
+            yield pa.record_batch([*batch.columns[:3], pa.array(out, kind)], names=[*by, "rows"])
+
+    tell = chunks.select(*by, "begin", "base", "part").mapInArrow(told, f"{keys}, own {ahead}")
+    tell = tell.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("begin", "own"))).alias("lists"))
+    right = tell.mapInArrow(from_right, "doc_id long, digest string, none boolean, rows array<struct<begin:long,ended:boolean,marks:int,first:string>>")
+    right = right.select(*by, F.explode("rows").alias("r")).select(*by, "r.*")
+    chunks = chunks.join(right, [*by, "begin"]).select(*by, "begin", "base", "part", "ended", "marks", "first")
+
+    def resolved(columns) -> list[list[tuple[int, int, int]]]:
+        return [with_quotes(p, tokens_of(p, a, z), (e, m, f))[0] for a, z, p, e, m, f in zip(*(c.to_pylist() for c in columns), strict=True)]
 
     def functions(batches):
         for batch in batches:
-            d, g, begins, bases, parts = (c.to_pylist() for c in batch.columns)
-            f = [function(tokens_of(p, a, z)).tolist() for p, a, z in zip(parts, begins, bases, strict=True)]
-            yield pa.record_batch([pa.array(d, pa.int64()), pa.array(g, pa.int64()), pa.array(begins, pa.int64()), pa.array(f, pa.list_(pa.int32()))], names=["doc_id", "digest", "begin", "f"])
+            f = [function(t).tolist() for t in resolved(batch.columns[3:9])]
+            yield pa.record_batch([*batch.columns[:4], pa.array(f, pa.list_(pa.int32()))], names=[*by, "begin", "f"])
 
-    made = chunks.mapInArrow(functions, "doc_id long, digest long, begin long, f array<int>")
-    lists = made.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("begin", "f"))).alias("fs"))
+    lists = chunks.mapInArrow(functions, f"{keys}, f array<int>").groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("begin", "f"))).alias("fs"))
 
     def scanned(batches):
         for batch in batches:
-            out = []
-            for d, g, fs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(d, g, x["begin"], int(s)) for x, s in zip(fs, scan(np.array([x["f"] for x in fs])), strict=True)]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["doc_id", "digest", "begin", "state"])
+            out = [[{"begin": x["begin"], "state": int(s)} for x, s in zip(fs, scan(np.array([x["f"] for x in fs])), strict=True)] for fs in batch.column(3).to_pylist()]
+            yield pa.record_batch([*batch.columns[:3], pa.array(out, pa.list_(pa.struct([("begin", pa.int64()), ("state", pa.int64())])))], names=[*by, "rows"])
 
-    states = lists.mapInArrow(scanned, "doc_id long, digest long, begin long, state long")
+    states = lists.mapInArrow(scanned, "doc_id long, digest string, none boolean, rows array<struct<begin:long,state:long>>")
+    states = states.select(*by, F.explode("rows").alias("r")).select(*by, "r.*")
 
     def marks(batches):
         for batch in batches:
+            bases, parts, before = (batch.column(k).to_pylist() for k in (4, 5, 9))
             out = []
-            for d, g, begin, base, part, state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, found = read(part, tokens_of(part, begin, base), state)
-                out += [(d, g, base + at, kind) for at, kind in found]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["doc_id", "digest", "at", "begins"])
+            for base, part, tokens, state in zip(bases, parts, resolved(batch.columns[3:9]), before, strict=True):
+                out.append([{"at": base + at, "begins": kind} for at, kind in read(part, tokens, state)[1]])
+            yield pa.record_batch([*batch.columns[:4], pa.array(out, pa.list_(pa.struct([("at", pa.int64()), ("begins", pa.int64())])))], names=[*by, "begin", "marks"])
 
-    found = chunks.join(states, ["doc_id", "digest", "begin"]).select("doc_id", "digest", "begin", "base", "part", "state").mapInArrow(marks, "doc_id long, digest long, at long, begins long")
+    found = chunks.join(states, [*by, "begin"]).mapInArrow(marks, f"{keys}, marks array<struct<at:long,begins:long>>")
     # A start is followed by its end, in order of position; an end comes before a start at the same place. The text's end closes the last.
-    ordered = F.sort_array(F.collect_list(F.struct("at", "begins")))
-    spans = found.groupBy("doc_id", "digest").agg(ordered.alias("marks")).join(long, ["doc_id", "digest"])
+    spans = found.groupBy(*by).agg(F.sort_array(F.flatten(F.collect_list("marks"))).alias("marks")).join(long, by)
 
     def close(batches):
         for batch in batches:
-            ids, starts, ends = [], [], []
-            for d, ms, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for a, b in _units(t, [(m["at"], m["begins"]) for m in ms]):
-                    ids.append(d)
-                    starts.append(a)
-                    ends.append(b)
-            yield pa.record_batch([pa.array(x, pa.int64()) for x in (ids, starts, ends)], names=["doc_id", "start_char", "end_char"])
-
-    return short.unionByName(spans.select("doc_id", "marks", "text").mapInArrow(close, UNIT))
+            rows = [(d, a, b) for d, ms, t, n in zip(*(c.to_pylist() for c in batch.columns), strict=True) for a, b in _units(t, [(m["at"], m["begins"]) for m in ms]) for _ in range(n)]
+            yield _record("doc_id start_char end_char", rows)
+
+    return short.unionByName(spans.select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "marks", "text", "copies").mapInArrow(close, UNIT))
 
 
 def _whole_tokens(part: str, begin: int, end: int, first: bool) -> list[tuple[int, int, int]]:
