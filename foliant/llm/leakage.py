@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +63,9 @@ def grams(units: list[str], n: int) -> list[tuple[str, ...]]:
     return list(zip(*(units[k:] for k in range(n)), strict=False))
 
 
+NEXT, LAST = itemgetter(0), 1 << 62
+
+
 class Index:
     """BM25 index of items, for block-max WAND.
 
@@ -73,6 +78,8 @@ class Index:
     def __init__(self, items: list[tuple[int, list[str]]], unit: Unit, whole: bool = True) -> None:
         self.unit, self.whole = unit, whole
         self.items = sorted((i, u) for i, u in items if len(u) >= unit.run)
+        self.vocabulary = {u: k for k, u in enumerate(sorted({u for _, own in self.items for u in own}))}
+        self.codes = [np.array([self.vocabulary[u] for u in own]) for _, own in self.items]
         counted = [Counter(grams(u, unit.gram)) for _, u in self.items]
         mean = sum(c.total() for c in counted) / max(1, len(counted))
         df = Counter(t for c in counted for t in c)
@@ -85,96 +92,130 @@ class Index:
             for t, x in impact.items():
                 postings.setdefault(t, []).append((k, x / least))
         self.postings = postings
-        self.most = {t: max(x for _, x in p) for t, p in postings.items()}
-        self.blocks = {t: [(p[s : s + self.BLOCK][-1][0], max(x for _, x in p[s : s + self.BLOCK])) for s in range(0, len(p), self.BLOCK)] for t, p in postings.items()}
+        # Terms as numbers, in order, with the greatest impact of each.
+        self.terms = sorted(postings, key=lambda t: [self.vocabulary[u] for u in t])
+        self.numbers = self._numbers(np.array([[self.vocabulary[u] for u in t] for t in self.terms]).reshape(-1, unit.gram).T)
+        self.bounds = np.array([max(x for _, x in postings[t]) for t in self.terms])
+        self.lists = {}
+        for t, p in postings.items():
+            blocks = [p[s : s + self.BLOCK] for s in range(0, len(p), self.BLOCK)]
+            self.lists[t] = ([k for k, _ in p], [x for _, x in p], [b[-1][0] for b in blocks], [max(x for _, x in b) for b in blocks], max(x for _, x in p))
 
     def search(self, terms: set[tuple[str, ...]]) -> list[int]:
         """All items whose score reaches 1 - 1e-9, by block-max WAND: lists in order of their next item; no item is scored
         unless the lists' bounds, and then those of their blocks at it, reach the threshold."""
         enough, found = 1 - 1e-9, []
-        lists = [[0, self.postings[t], self.blocks[t], self.most[t]] for t in terms if t in self.postings]
+        # The next item of a list, its place, then the list's items, impacts, last items and bounds of blocks, and bound.
+        lists = [[own[0][0], 0, *own] for own in map(self.lists.get, terms) if own]
         while lists:
-            lists.sort(key=lambda x: x[1][x[0]][0])
-            bound, pivot = 0.0, -1
-            for k, x in enumerate(lists):
-                bound += x[3]
+            lists.sort(key=NEXT)
+            bound = 0.0
+            for pivot, x in enumerate(lists, 1):
+                bound += x[6]
                 if bound >= enough:
-                    pivot = k
                     break
-            if pivot < 0:
+            else:
                 break
-            item = lists[pivot][1][lists[pivot][0]][0]
-            while pivot + 1 < len(lists) and lists[pivot + 1][1][lists[pivot + 1][0]][0] == item:
+            item = lists[pivot - 1][0]
+            while pivot < len(lists) and lists[pivot][0] == item:
                 pivot += 1
-            heads = lists[: pivot + 1]
-            inside = [self._block(x, item) for x in heads]
-            if sum(m for _, m in inside) < enough:
-                beyond = min([e + 1 for e, _ in inside] + ([lists[pivot + 1][1][lists[pivot + 1][0]][0]] if pivot + 1 < len(lists) else []))
-                target = max(beyond, item + 1)
+            heads, inside, target = lists[:pivot], 0.0, lists[pivot][0] if pivot < len(lists) else LAST
+            for _, _, _, _, lasts, bounds, _ in heads:
+                block = bisect_left(lasts, item)
+                if block < len(lasts):
+                    inside += bounds[block]
+                    target = min(target, lasts[block] + 1)
+            if inside < enough:
+                target = max(target, item + 1)
             else:
-                score = 0.0
+                score, target = 0.0, item + 1
                 for x in heads:
-                    self._seek(x, item)
-                    if x[0] < len(x[1]) and x[1][x[0]][0] == item:
-                        score += x[1][x[0]][1]
+                    x[1] = bisect_left(x[2], item, x[1])
+                    if x[1] < len(x[2]) and x[2][x[1]] == item:
+                        score += x[3][x[1]]
                 if score >= enough:
                     found.append(item)
-                target = item + 1
+            done = False
             for x in heads:
-                self._seek(x, target)
-            lists = [x for x in lists if x[0] < len(x[1])]
+                x[1] = k = bisect_left(x[2], target, x[1])
+                if k < len(x[2]):
+                    x[0] = x[2][k]
+                else:
+                    x[0], done = LAST, True
+            if done:
+                lists = [x for x in lists if x[0] < LAST]
         return found
 
-    def _block(self, x: list, item: int) -> tuple[int, float]:
-        """The last item and the bound of the block that holds an item's place in a list."""
-        blocks = x[2]
-        k = x[0] // self.BLOCK
-        while k < len(blocks) and blocks[k][0] < item:
-            k += 1
-        return blocks[k] if k < len(blocks) else (1 << 62, 0.0)
-
-    def _seek(self, x: list, item: int) -> None:
-        k, p, blocks = x[0], x[1], x[2]
-        b = k // self.BLOCK
-        while b < len(blocks) and blocks[b][0] < item:
-            b += 1
-        k = max(k, b * self.BLOCK)
-        while k < len(p) and p[k][0] < item:
-            k += 1
-        x[0] = k
+    def _numbers(self, parts: np.ndarray) -> np.ndarray:
+        """Terms, given as a row of codes for each of their places, as numbers; -1 for those with a unit that no item has."""
+        if len(self.vocabulary) ** self.unit.gram >= 1 << 62:
+            raise ValueError("more units than terms of this length can be numbered for")
+        out = np.zeros(parts.shape[1], dtype=np.int64)
+        for row in parts:
+            out = out * len(self.vocabulary) + row
+        return np.where((parts < 0).any(axis=0), -1, out)
 
     def leaks(self, units: list[str]) -> set[int]:
         """Ids of the items of which a text, in its units, holds a run."""
-        terms, out = grams(units, self.unit.gram), set()
-        if len(units) < self.unit.run - self.unit.edits:
+        out: set[int] = set()
+        if not self.items or len(units) < self.unit.run - self.unit.edits:
             return out
-        most = self.most
-        bounds = [most.get(t, 0.0) for t in terms]
-        if sum(bounds) < 1 - 1e-9:
-            return out
-        sums = np.concatenate([[0.0], np.cumsum(bounds)])
+        get = self.vocabulary.get
+        codes = np.array([get(u, -1) for u in units])
+        numbers = self._numbers(np.stack([codes[k : len(codes) - self.unit.gram + 1 + k] for k in range(self.unit.gram)]))
+        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        known = self.numbers[at] == numbers
+        sums = np.concatenate([[0.0], np.cumsum(np.where(known, self.bounds[at], 0.0))])
         size, stride = self.unit.passage, self.unit.passage - self.unit.run - self.unit.edits
-        for a in range(0, max(1, len(units) - (size - stride)), stride):
-            b = min(len(terms), a + size - self.unit.gram + 1)
-            if sums[b] - sums[a] < 1 - 1e-6:
-                continue
-            for k in self.search(set(terms[a:b])):
-                item, own = self.items[k]
-                if item in out or not holds_run(own, units[a : a + size], self.unit):
+        starts = np.arange(0, max(1, len(units) - (size - stride)), stride)
+        ends = np.minimum(len(numbers), starts + size - self.unit.gram + 1)
+        for a, b in zip(*(x[sums[ends] - sums[starts] >= 1 - 1e-6].tolist() for x in (starts, ends)), strict=True):
+            for k in self.search({self.terms[t] for t in at[a:b][known[a:b]].tolist()}):
+                item, own, passage = self.items[k][0], self.codes[k], codes[a : a + size]
+                if item in out:
                     continue
-                if not self.whole or holds_whole_run(own, units[a : a + size], self.unit):
+                held = likely(own, passage, self.unit)
+                if held or held is None and (holds_whole if self.whole else holds)(own, passage, self.unit):
                     out.add(item)
         return out
 
 
+def _coded(item: list[str], passage: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    codes: dict[str, int] = {}
+    a = [codes.setdefault(u, len(codes)) for u in item]
+    return np.array(a), np.array([codes.get(u, -1) for u in passage])
+
+
+def likely(a: np.ndarray, b: np.ndarray, unit: Unit) -> bool | None:
+    """True for an unaltered run; False only if no run is held: of `run` consecutive units of the item, at least `run - edits` have
+    an equal in the passage, and no two of these are moved by more than `edits` places against each other; else None."""
+    x, y = np.nonzero(a[:, None] == b[None, :])
+    least, across = unit.run - unit.edits, len(a) + 1
+    if len(x) < least:
+        return False
+    places = np.sort((y - x + len(a)) * across + x)
+    if len(places) >= unit.run and (places[unit.run - 1 :] - places[: 1 - unit.run] == unit.run - 1).any():
+        return True
+    # Of so many matches in order of how far they are moved, the last is moved little further than the first.
+    if (places[least - 1 :] // across - places[: len(places) - least + 1] // across > unit.edits).all():
+        return False
+    moved = np.zeros((len(a) + len(b) + unit.edits, across), dtype=bool)
+    for k in range(unit.edits + 1):
+        moved[y - x + len(a) - 1 + k, x + 1] = True
+    sums = np.cumsum(moved, axis=1, dtype=np.int16)
+    return None if (sums[:, unit.run :] - sums[:, : -unit.run]).max() >= least else False
+
+
 def holds_run(item: list[str], passage: list[str], unit: Unit) -> bool:
     """Whether some `run` consecutive units of the item lie in the passage with at most `edits` altered, dropped or added.
 
     All windows of the item go through one table of edit distances, row by row of the window, that lets the passage's ends free.
     """
-    codes: dict[str, int] = {}
-    a = np.array([codes.setdefault(u, len(codes)) for u in item])
-    b = np.array([codes.get(u, -1) for u in passage])
+    return holds(*_coded(item, passage), unit)
+
+
+def holds(a: np.ndarray, b: np.ndarray, unit: Unit) -> bool:
+    """`holds_run` of units as numbers, -1 for those of the passage that the item lacks."""
     if len(a) < unit.run or (b >= 0).sum() < unit.run - unit.edits:
         return False
     windows = np.lib.stride_tricks.sliding_window_view(a, unit.run)
@@ -197,9 +238,12 @@ def holds_whole_run(item: list[str], passage: list[str], unit: Unit) -> bool:
 
     Of a longer run with no more edits, the first `run` units and those up to the next match are one: `run + edits` units suffice.
     """
-    codes: dict[str, int] = {}
-    a = np.array([codes.setdefault(u, len(codes)) for u in item] + [-2] * unit.edits)
-    b = np.array([codes.get(u, -1) for u in passage])
+    return holds_whole(*_coded(item, passage), unit)
+
+
+def holds_whole(a: np.ndarray, b: np.ndarray, unit: Unit) -> bool:
+    """`holds_whole_run` of units as numbers, -1 for those of the passage that the item lacks."""
+    a = np.concatenate([a, np.full(unit.edits, -2)])
     windows = np.lib.stride_tricks.sliding_window_view(a, unit.run + unit.edits)
     row = np.full((len(windows), len(b) + 1), unit.edits + 1, dtype=np.int16)
     row[:, 1:][windows[:, :1] == b] = 0
