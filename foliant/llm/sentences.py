@@ -60,7 +60,7 @@ HAS_THAI = re.compile(f"[{THAI}]")
 FIRST = re.compile(rf"[^{BLANK}]")
 CLOSERS = re.compile(r"[)\]}）］】〉》’'”»]*")
 LINES = re.compile(LINE_END)
-_BREAKS = frozenset("\r\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029")
+OTHER_BREAK = re.compile(r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
 BULLET = re.compile(rf"(?:[-–—•*·・▪◦‣►■□○●✓✔][{BLANK}]|[・•])")
 NUMBERED = re.compile(rf"\(?(?:\d{{1,3}}|[a-zA-Z]|[ivx]{{1,5}})(?:\)[{BLANK}]|[、．])|[①-⑳]")
 POINTED = re.compile(rf"\d{{1,3}}\.[{BLANK}]+\S")
@@ -114,7 +114,11 @@ _NEXT, _OUT = NEXT.tolist(), OUT.tolist()
 
 def _word_before(text: str, at: int) -> str:
     """The word, with inner stops, that ends at a stop."""
-    m = LAST_WORD.search(text, max(0, at - 40), at)
+    if at and text[at - 1] == "\n":
+        at -= 1
+    if not at or text[at - 1].isspace():
+        return ""
+    m = LAST_WORD.search(text[max(0, at - 40) : at].rsplit(None, 1)[-1])  # a word holds no blank
     return m[0] if m else ""
 
 
@@ -210,12 +214,10 @@ def _after_closers(text: str, b: int) -> bool:
 def _line_start(text: str, a: int) -> int:
     """Where the line that ends at a position begins; -1 if it is longer than LONG_LINE."""
     least = max(0, a - LONG_LINE)
-    at = a
-    while at > least:
-        if text[at - 1] in _BREAKS:
-            return at
-        at -= 1
-    return 0 if not at else -1
+    at = text.rfind("\n", least, a) + 1
+    for m in OTHER_BREAK.finditer(text, at or least, a):
+        at = m.end()
+    return at if at or not least else -1
 
 
 def _line_symbol(text: str, a: int, b: int, depth: int = 0) -> str | None:
@@ -352,9 +354,10 @@ def symbols(text: str, begin: int = 0, end: int | None = None) -> list[tuple[int
         at, kind = m.end(), m.lastgroup
         a, b = m.span()
         if kind == "text":
-            first = FIRST.search(text, a, b)
-            if first:
-                add("text", first.start(), _end_before(text, b))
+            c = text[a]
+            start = a if c.isalnum() else m.start() if (m := FIRST.search(text, a, b)) else -1
+            if start >= 0:
+                out.append((0, start, b if text[b - 1].isalnum() else _end_before(text, b)))
         elif kind == "line":
             if s := _line_symbol(text, a, b):
                 add(s, a, b)
