@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import compaction as op
-from ..session import cut, table
+from ..session import checkpoint_dir, cut, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return op.redundant_copies(cut(op.record_index(table(spark, d, "page_file"), "file_id", "content")))
 
 
+def p2_files(spark: SparkSession, d: str) -> DataFrame:
+    """Bundles of about 8 MB written as zstandard frames to the shared folder and read again: records, distinct records and bytes of
+    each, as written and as read."""
+    made = op.bundles(table(spark, d, "page_file"), "file_id", "content", 8 << 20)
+    written = op.write_bundles(made, f"{checkpoint_dir(spark)}/bundles-{uuid.uuid4().hex}", frames=True)
+    read = op.read_bundles(written).groupBy("bundle_id").agg(F.count("*").alias("n_read"), F.count_distinct("record").alias("n_distinct"), F.sum(F.octet_length("record") + 1).alias("bytes_read"))
+    return written.join(read, "bundle_id").select("bundle_id", "n_records", "n_read", "n_distinct", "n_bytes", "bytes_read", "n_frames", "file_bytes")
+
+
 def p2_bundles(spark: SparkSession, d: str) -> DataFrame:
     return op.bundles(table(spark, d, "page_file"), "file_id", "content")
 
 
-QUERIES = {"p2_found": p2_found, "p2_bundles": p2_bundles}
+QUERIES = {"p2_found": p2_found, "p2_bundles": p2_bundles, "p2_files": p2_files}
 SQL: dict[str, str] = {}

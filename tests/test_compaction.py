@@ -6,6 +6,7 @@ import zlib
 
 import pytest
 from foliant.operators import compaction as op
+from pyspark.sql import functions as F
 
 FILES = "file_id long, content string, same string, crc int"
 
@@ -24,6 +25,11 @@ FILES = "file_id long, content string, same string, crc int"
         ('"text"\n5\nnull\n', 0),
         ("", 0),
         ("}}]]{", 0),
+        ('{"a":1,"b":\n{"c":3}\n{"d":4}', 2),
+        ('{"a":[\n{"c":3}\n{"d":4}', 2),
+        ('{"a":[\n {"c":3}\n', 0),
+        ('[{"a":1},\n{"b":\n{"c":3},{"d":4}]', 3),
+        ('{"a":\n{"b":{"c":\n{"d":1}\n{"e":2}', 2),
     ],
 )
 def test_spans(text, found):
@@ -50,7 +56,7 @@ def files(rng, n):
     return [*out, (n, None, "s", 1), (n + 1, "", "s", 1), (n + 2, '{"big":"' + "x" * 300_000 + '"}', "s", 1)]
 
 
-def test_copies_and_bundles(spark):
+def test_copies_and_bundles(spark, tmp_path):
     rows = files(random.Random(3), 60)
     df = spark.createDataFrame(rows, FILES)
     seen, extra, kept = set(), [], []
@@ -70,6 +76,15 @@ def test_copies_and_bundles(spark):
     assert sorted(map(op.fingerprint, lines)) == sorted(kept) and len(got) > 1
     assert all(r.n_bytes == len(r.content) and r.crc32 == zlib.crc32(bytes(r.content)) and r.n_records == bytes(r.content).count(b"\n") for r in got)
     assert op.bundles(df.limit(0), "file_id", "content").collect() == []
+    for frames in (False, True):
+        written = op.write_bundles(op.bundles(df, "file_id", "content", target_bytes=200), str(tmp_path / str(frames)), frames, 50)
+        assert {r.path for r in written.collect()} == {str(p) for p in (tmp_path / str(frames)).glob("bundle-*")}
+        assert sorted(op.fingerprint(r.record.encode()) for r in op.read_bundles(written).collect()) == sorted(kept)
+        assert written.where("n_frames > 1").count() > 0 or not frames
+    spoiled = next((tmp_path / "False").glob("bundle-*"))
+    spoiled.write_bytes(spoiled.read_bytes()[:-2] + b"?\n")
+    with pytest.raises(Exception, match="is not what was written"):
+        op.read_bundles(written.withColumns({"path": F.regexp_replace(F.regexp_replace("path", "/True/", "/False/"), ".zst$", ""), "n_frames": F.lit(0)})).count()
 
 
 def test_frames_and_lines():
