@@ -302,3 +302,42 @@ def white(width: int, height: int) -> np.ndarray:
     """What stands for an image that can't be decoded; one smaller than 100 pixels on a side becomes 100 by 100."""
     w, h = (width, height) if width >= 100 and height >= 100 else (100, 100)
     return np.full((h, w), 255, dtype=np.uint8)
+
+
+def crop_masked(img: np.ndarray, pts: np.ndarray) -> np.ndarray:
+    """The upright part of an image around a convex polygon, black outside it."""
+    h, w = img.shape[:2]
+    p = np.asarray(pts, float)
+    x0, y0, x1, y1 = max(int(np.floor(p[:, 0].min())), 0), max(int(np.floor(p[:, 1].min())), 0), min(int(np.ceil(p[:, 0].max())), w), min(int(np.ceil(p[:, 1].max())), h)
+    mask = polygon_mask((h, w), p)
+    return np.where(mask if img.ndim == 2 else mask[..., None], img, 0)[y0:y1, x0:x1]
+
+
+def perspective(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """The 3 x 3 matrix that takes four points to four others."""
+    rows = []
+    for (x, y), (u, v) in zip(src, dst, strict=True):
+        rows += [[x, y, 1, 0, 0, 0, -u * x, -u * y], [0, 0, 0, x, y, 1, -v * x, -v * y]]
+    return np.append(np.linalg.solve(np.array(rows, float), np.asarray(dst, float).ravel()), 1.0).reshape(3, 3)
+
+
+def crop_warped(img: np.ndarray, pts: np.ndarray, size: tuple[int, int] | None = None) -> np.ndarray:
+    """A quadrilateral, from its top left corner clockwise, made upright by perspective, with values between pixels from the four
+    around. Its size is that of its longer sides if none is given."""
+    p = np.asarray(pts, float)
+    side = lambda a, b: float(np.hypot(*(p[a] - p[b])))
+    w, h = size or (max(1, round(max(side(0, 1), side(3, 2)))), max(1, round(max(side(0, 3), side(1, 2)))))
+    m = perspective(np.array([(0, 0), (w - 1, 0), (w - 1, h - 1), (0, h - 1)], float) if w > 1 and h > 1 else np.array([(0, 0), (1, 0), (1, 1), (0, 1)], float), p)
+    ys, xs = np.mgrid[:h, :w]
+    u, v, z = (m[k, 0] * xs + m[k, 1] * ys + m[k, 2] for k in range(3))
+    u, v = u / z, v / z
+    x0, y0 = np.floor(u).astype(int), np.floor(v).astype(int)
+    out = 0.0
+    for dy in (0, 1):
+        for dx in (0, 1):
+            x, y = x0 + dx, y0 + dy
+            inside = (x >= 0) & (x < img.shape[1]) & (y >= 0) & (y < img.shape[0])
+            weight = (1 - np.abs(u - x)) * (1 - np.abs(v - y)) * inside
+            value = img[np.clip(y, 0, img.shape[0] - 1), np.clip(x, 0, img.shape[1] - 1)].astype(float)
+            out = out + (value * weight if img.ndim == 2 else value * weight[..., None])
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
