@@ -29,4 +29,13 @@ def p2_bundles(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_bundles": p2_bundles, "p2_files": p2_files}
-SQL: dict[str, str] = {}
+_RECORD = r"""\{(?:[^"{}\[\]\r\n]|"(?:[^"\\\r\n]|\\[^\r\n])*")*\}"""
+SQL = {
+    # The table's records are flat objects of one line.
+    "p2_found": f"""
+WITH f AS (SELECT file_id, regexp_extract_all(content, '{_RECORD}') AS r FROM page_file), u AS (SELECT file_id, unnest(r) AS t, generate_subscripts(r, 1) AS i FROM f),
+v AS (SELECT file_id, t::JSON AS t, row_number() OVER (PARTITION BY file_id ORDER BY i) - 1 AS record_no FROM u WHERE json_valid(t)),
+c AS (SELECT file_id, record_no, coalesce(string_agg(e.key || chr(1) || CASE WHEN e.type = 'VARCHAR' THEN 's' || (e.value ->> '$') WHEN e.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'n' || (e.value::DOUBLE)::VARCHAR ELSE e.type || e.value::VARCHAR END, chr(2) ORDER BY e.key), '') AS same
+  FROM v LEFT JOIN LATERAL (SELECT * FROM json_each(v.t)) e ON true GROUP BY 1, 2)
+SELECT file_id, record_no FROM c QUALIFY row_number() OVER (PARTITION BY same ORDER BY file_id, record_no) > 1""",
+}

@@ -31,4 +31,37 @@ def p3_tables(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p3_pages": p3_pages, "p3_boxes": p3_boxes, "p3_tables": p3_tables}
-SQL: dict[str, str] = {}
+
+
+def _read(c: str) -> str:
+    """A value as its entries: a text that is JSON is read, and a single value is a list of one."""
+    v = f"CASE WHEN json_type({c}) = 'VARCHAR' AND json_valid({c} ->> '$') THEN ({c} ->> '$')::JSON ELSE {c} END"
+    return _entries(f"({v})")
+
+
+def _entries(v: str) -> str:
+    return f"CASE WHEN {v} IS NULL OR json_type({v}) = 'NULL' THEN [] WHEN json_type({v}) = 'ARRAY' THEN json_extract({v}, '$[*]') ELSE [{v}] END"
+
+
+def _milli(v: str) -> str:
+    number = f"try_cast(CASE WHEN json_type({v}) = 'VARCHAR' THEN replace(replace(rtrim(trim({v} ->> '$'), '%'), ',', '.'), ' ', '') WHEN json_type({v}) IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN {v} ->> '$' END AS DOUBLE)"
+    return f"coalesce(round_even({number} * 1000, 0)::BIGINT, -1)"
+
+
+_PAGES = f"""b AS (SELECT record_id, body::JSON AS body FROM doc_5 WHERE json_valid(body)), e AS (SELECT record_id, CASE json_type(body) WHEN 'ARRAY' THEN json_extract(body, '$[*]') ELSE [body] END AS ps FROM b),
+q AS (SELECT record_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM e),
+pages AS (SELECT record_id, row_number() OVER (PARTITION BY record_id ORDER BY i) - 1 AS page_pos, p, coalesce(p ->> '$.image', p ->> '$.data.image', '') AS image FROM q WHERE json_type(p) = 'OBJECT'),
+l AS (SELECT record_id, page_pos, image, {_read("(p -> '$.label')")} AS es, {_read("(p -> '$.annotations')")} AS an FROM pages),
+x AS (SELECT record_id, page_pos, image, 0 AS a, generate_subscripts(es, 1) AS i, unnest(es) AS r, '' AS kind FROM l),
+an AS (SELECT record_id, page_pos, image, generate_subscripts(an, 1) AS a, unnest(an) AS v FROM l),
+re AS (SELECT record_id, page_pos, image, a, {_entries("(v -> '$.result')")} AS rs FROM an WHERE json_type(v) = 'OBJECT'),
+y AS (SELECT record_id, page_pos, image, a, generate_subscripts(rs, 1) AS i, unnest(rs) AS r FROM re),
+boxes AS (SELECT record_id, page_pos, image, row_number() OVER (PARTITION BY record_id, page_pos ORDER BY a, i) - 1 AS box_no, v FROM (
+  SELECT record_id, page_pos, image, a, i, r AS v FROM x WHERE json_type(r) = 'OBJECT' UNION ALL SELECT record_id, page_pos, image, a, i, r -> '$.value' FROM y WHERE json_type(r) = 'OBJECT' AND r ->> '$.type' = 'rectanglelabels'))"""
+_SIZES = {n: _milli(f"(v -> '$.{n}')") for n in ("x", "y", "width", "height")}
+SQL = {
+    "p3_pages": f"WITH {_PAGES} SELECT record_id, page_pos, image FROM pages",
+    "p3_boxes": f"WITH {_PAGES} SELECT record_id, page_pos, box_no, {', '.join(f'{m} AS {n}_milli' for n, m in _SIZES.items())} FROM boxes",
+    "p3_found": f"""WITH {_PAGES}, k AS (SELECT *, list_filter({_entries("(v -> '$.rectanglelabels')")}, lambda j: json_type(j) NOT IN ('NULL', 'OBJECT', 'ARRAY')) AS ls FROM boxes)
+SELECT record_id, page_pos, image, box_no, unnest(CASE WHEN len(ls) = 0 THEN [-1] ELSE range(0, len(ls)) END) AS label_no, unnest(CASE WHEN len(ls) = 0 THEN [''] ELSE list_transform(ls, lambda j: j ->> '$') END) AS rectanglelabel, {_SIZES['x']} AS x_milli FROM k""",
+}
