@@ -41,4 +41,15 @@ def p5_balance(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_splits": p5_splits, "p5_balance": p5_balance}
-SQL: dict[str, str] = {}
+
+_SUBJECT = r"nullif(regexp_extract(regexp_replace({}, '[\s\x{{00A0}}\x{{FEFF}}]+', '', 'g'), '^0*([0-9]+)(?:[.,]0*)?$', 1), '')"
+_KEYS = {"s": ("split_part(unique_id, '_', 1)", "subject_id"), "g": ("regexp_extract(unique_id, '^[^_]*_(.*)$', 1)", "group_id")}
+_KEYED = " UNION ".join(f"SELECT row_id, '{k}' || {_SUBJECT.format(c)} AS k FROM training WHERE {_SUBJECT.format(c)} IS NOT NULL" for k, cs in _KEYS.items() for c in cs)
+SQL = {
+    "p5_found": f"""
+WITH RECURSIVE keys AS MATERIALIZED ({_KEYED}), ks AS MATERIALIZED (SELECT DISTINCT a.k AS a, b.k AS b FROM keys a JOIN keys b USING (row_id)),
+reach AS (SELECT DISTINCT k AS root, k FROM keys UNION SELECT r.root, ks.b FROM reach r JOIN ks ON ks.a = r.k),
+sets AS (SELECT root, min(row_id) AS set_id FROM reach JOIN keys USING (k) GROUP BY 1), m AS (SELECT row_id, min(set_id) AS set_id FROM keys JOIN sets ON root = k GROUP BY 1),
+n AS (SELECT row_id, CASE WHEN s IN ('train', 'training') THEN 'train' WHEN s IN ('val', 'validation', 'valid') THEN 'val' WHEN s IN ('test', 'testing') THEN 'test' END AS s FROM (SELECT row_id, regexp_replace(lower(split), '[\\s_\\-.]+', '', 'g') AS s FROM training)),
+d AS (SELECT set_id FROM m JOIN n USING (row_id) GROUP BY 1 HAVING count(DISTINCT s) > 1) SELECT row_id, set_id FROM m WHERE set_id IN (SELECT set_id FROM d)""",
+}
