@@ -11,7 +11,7 @@ label:array<struct<x:double, y:double, width:double, height:double, rotation:dou
 #: Labels whose boxes take their sub-attribute from a list of the page.
 SUBTYPES = {"roi": "roi_type", "censor": "censor_type", "censor-close": "close_type", "censor_close": "close_type"}
 TASKS = """array<struct<data:struct<image:string>, annotations:array<struct<result:array<struct<type:string,
-value:struct<x:double, y:double, width:double, height:double, rectanglelabels:array<string>>>>>>>>"""
+value:struct<x:string, y:string, width:string, height:string, rectanglelabels:array<string>>>>>>>>"""
 IMAGE = """_id string, _name string, _width int, _height int, box array<struct<_label:string, _source:string, _occluded:string,
 _xtl:double, _ytl:double, _xbr:double, _ybr:double, _z_order:int, attribute:array<struct<_name:string, _VALUE:string>>>>"""
 
@@ -53,7 +53,7 @@ def label_rows(df: DataFrame, body: str, order: str, classes: dict[str, int], se
     """Label files of a labelling tool's tasks: `file_name, box_no, line`, a line per box, with nulls for tasks without any.
 
     A file is named by the last two parts of the image's path; those named before take _1, _2 and so on in their order.
-    Unknown classes are 0. A hot name is numbered by one task, which sorts its keys only.
+    Unknown classes are 0. Numbers may be written as texts, with a comma or a percent sign; a box without all four has no line. A hot name is numbered by one task, which sorts its keys only.
     """
     wrapped = F.when(F.ltrim(F.col(body)).startswith("["), F.col(body)).otherwise(F.concat(F.lit("["), F.col(body), F.lit("]")))
     tasks = df.select(F.col(order).alias("_o"), F.posexplode(F.from_json(wrapped, TASKS)).alias("_t", "t")).where(F.col("t.data.image").isNotNull())
@@ -66,9 +66,10 @@ def label_rows(df: DataFrame, body: str, order: str, classes: dict[str, int], se
     rows = named.select("file_name", F.posexplode_outer(results).alias("box_no", "r"))
     ids = F.create_map(*(x for k, v in classes.items() for x in (F.lit(k), F.lit(v)))) if classes else F.create_map().cast("map<string,int>")
     v = F.col("r.value")
+    x, y, w, h = (F.regexp_replace(F.replace(F.rtrim(F.trim(v[c]), F.lit("%")), F.lit(","), F.lit(".")), " ", "").try_cast("double") for c in ("x", "y", "width", "height"))
     cls = F.coalesce(F.try_element_at(ids, F.coalesce(F.get(v["rectanglelabels"], F.lit(0)), F.lit(""))), F.lit(0))
-    line = F.format_string("%d %.6f %.6f %.6f %.6f", cls, (v["x"] + v["width"] / 2) / 100, (v["y"] + v["height"] / 2) / 100, v["width"] / 100, v["height"] / 100)
-    return rows.select("file_name", "box_no", F.when(F.col("r").isNotNull(), line).alias("line"))
+    line = F.format_string("%d %.6f %.6f %.6f %.6f", cls, (x + w / 2) / 100, (y + h / 2) / 100, w / 100, h / 100)
+    return rows.select("file_name", "box_no", F.when((x + y + w + h).isNotNull(), line).alias("line"))
 
 
 def to_predictions(tasks: DataFrame, version: str, score: float = 0.95) -> DataFrame:

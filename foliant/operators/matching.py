@@ -61,7 +61,9 @@ def candidates(cohort: DataFrame, id_col: str, columns: Sequence[str], age_windo
     if age_window >= 0:
         cases = cases.withColumn("age", F.explode(F.sequence(F.col("case_age") - age_window, F.col("case_age") + age_window)))
         keys.append("age")
-    pairs = cases.join(others, keys) if keys else cases.join(others)
+    if not keys:
+        raise ValueError("candidates need a column or an age window in common: without one, every case would be held against every subject")
+    pairs = cases.join(others, keys)
     return pairs.where((F.col("follow_up_time") >= F.col("case_time")) & (F.col("case_id") != F.col("control_id")))
 
 

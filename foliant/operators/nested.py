@@ -87,6 +87,26 @@ def flatten(df: DataFrame, record_id: str, body: str, lists: Collection[str] = (
     return df.select(F.col(record_id).cast("long"), F.col(body).cast("string")).mapInArrow(run, "record_id long, table_path string, ordinals array<long>, parent_path string, parent_ordinals array<long>, fields map<string,string>")
 
 
+def tables(flat: DataFrame, most: int = 10_000) -> dict[str, DataFrame]:
+    """Each repeated path of `flatten` as a table: `record_id`, a column `nK` for each ordinal, of which all but the last are the parent's, and a
+    column for each field, in which `.` is `__`: a number if all its values are, else a text.
+
+    Rows of a table and its parent's link by `record_id` and the ordinals they share. The vocabulary of paths and fields is
+    collected; more than `most` fields raise an error. No rows give no tables. `flat` should be a written table, as each of the tables reads it.
+    """
+    number = F.expr("try_cast(value AS double)").isNotNull()
+    cells = flat.select("table_path", F.size("ordinals").alias("depth"), F.explode_outer("fields").alias("field", "value"))
+    rows = cells.groupBy("table_path", "depth", "field").agg(F.bool_and(number).alias("is_number")).orderBy("table_path", "field").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} fields")
+    out = {}
+    for path in dict.fromkeys(r.table_path for r in rows):
+        own = [r for r in rows if r.table_path == path]
+        fields = [F.col("fields")[r.field].cast("double" if r.is_number else "string").alias(r.field.replace(".", "__") or "value") for r in own if r.field is not None]
+        out[path] = flat.where(F.col("table_path") == path).select("record_id", *(F.get("ordinals", F.lit(k)).alias(f"n{k}") for k in range(own[0].depth)), *fields)
+    return out
+
+
 def milli(value) -> int:
     """A number times 1000, rounded, however it is written; -1 if it can't be read."""
     if isinstance(value, str):

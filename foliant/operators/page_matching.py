@@ -7,7 +7,7 @@ template pages, so a document is a bounded group.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,17 +33,27 @@ def assign_pages(costs: DataFrame) -> DataFrame:
     """`doc, page, template, cost`: the pairs of least total cost, as many as the fewer of pages and templates. Pairs without a
     cost are the last resort; null keys are left out, and of repeated pairs the least cost counts."""
 
-    def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        table = frame.pivot_table(index="page", columns="template", values="cost", aggfunc="min", dropna=False)
-        values = table.to_numpy(dtype=float)
+    def solve(entries: list[dict]) -> list[dict]:
+        least: dict[tuple, float] = {}
+        for e in entries:
+            at = e["page"], e["template"]
+            least[at] = min(e["cost"], least.get(at, e["cost"]))
+        pages, templates = sorted({p for p, _ in least}), sorted({t for _, t in least})
+        values = np.array([[least.get((p, t), np.nan) for t in templates] for p in pages])
         worst = np.nanmax(values) if np.isfinite(values).any() else 0.0
         filled = np.where(np.isnan(values), abs(worst) * 2 * (1 + min(values.shape)) + 1, values)
-        rows = [(frame["doc"].iloc[0], table.index[r], table.columns[c], values[r, c]) for r, c in assign(filled) if not np.isnan(values[r, c])]
-        return pd.DataFrame(rows, columns=["doc", "page", "template", "cost"])
-
-    rows = costs.dropna(subset=["doc", "page", "template", "cost"]).select("doc", "page", "template", F.col("cost").cast("double").alias("cost"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.groupBy("doc").applyInPandas(solve, kinds)
+        return [{"page": pages[r], "template": templates[c], "cost": values[r, c]} for r, c in assign(filled) if not np.isnan(values[r, c])]
+
+    def run(batches):
+        for batch in batches:
+            solved = [solve(x) for x in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(solved, batch.column(1).type)], names=["doc", "pairs"])
+
+    rows = costs.dropna(subset=["doc", "page", "template", "cost"]).select("doc", F.struct("page", "template", F.col("cost").cast("double").alias("cost")).alias("pair"))
+    kind = rows.schema["pair"].dataType.simpleString()
+    # Many documents go to Python in one batch.
+    solved = rows.groupBy("doc").agg(F.collect_list("pair").alias("pairs")).mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, pairs array<{kind}>")
+    return solved.select("doc", F.explode("pairs").alias("p")).select("doc", "p.page", "p.template", "p.cost")
 
 
 def report(costs: DataFrame, assigned: DataFrame, gap: float = HASH_GAP, most: float = HASH_MOST, whole: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import nested as op
-from ..session import table
+from ..session import cut, table
 
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
@@ -30,7 +30,14 @@ def p3_tables(spark: SparkSession, d: str) -> DataFrame:
     return op.flatten(table(spark, d, "doc_5"), "record_id", "body", op.LISTS, ("label",)).withColumn("fields", F.to_json("fields"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_pages": p3_pages, "p3_boxes": p3_boxes, "p3_tables": p3_tables}
+def p3_label_table(spark: SparkSession, d: str) -> DataFrame:
+    """The table of the boxes of lists of pages, with its typed columns."""
+    flat = cut(op.flatten(table(spark, d, "doc_5"), "record_id", "body", op.LISTS, ("label",)))
+    boxes = op.tables(flat)["[].label[]"]
+    return boxes.select("record_id", "n0", "n1", *(F.col(c).cast("string").alias(c) for c in ("x", "y", "width", "height")))
+
+
+QUERIES = {"p3_found": p3_found, "p3_pages": p3_pages, "p3_boxes": p3_boxes, "p3_tables": p3_tables, "p3_label_table": p3_label_table}
 
 
 def _read(c: str) -> str:

@@ -260,6 +260,11 @@ _CROSSES, _BENDS = ", ".join(map(_cross, range(4))), ", ".join(map(_bend, range(
 _TWICE = " + ".join(f"x[{k + 1}] * y[{(k + 1) % 4 + 1}] - x[{(k + 1) % 4 + 1}] * y[{k + 1}]" for k in range(4))
 _QUADS = f"""WITH n AS (SELECT *, l_partkey % 41 - 20 AS a, l_suppkey % 37 * 4 - 40 AS b FROM lineitem), q AS (SELECT *, [0, 100.0 + a, 100.0 + b, b / 4] AS x, [0, a / 2, 100.0 - b, 100] AS y FROM n)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN least({_CROSSES}) * greatest({_CROSSES}) < 0 THEN 'convex' WHEN abs({_TWICE}) / 2 NOT BETWEEN 4000 AND 16000 THEN 'area' WHEN greatest({_BENDS}) > 10 THEN 'angle' ELSE 'ok' END AS verdict FROM q"""
+_ANNOTATED = """WITH b AS (SELECT record_id, body::JSON AS body FROM doc_5 WHERE json_valid(body)), e AS (SELECT record_id, CASE json_type(body) WHEN 'ARRAY' THEN json_extract(body, '$[*]') ELSE [body] END AS ps FROM b),
+q AS (SELECT record_id, unnest(ps) AS p, (generate_subscripts(ps, 1) - 1)::INT AS page_pos FROM e), m AS (SELECT *, nullif(regexp_extract(p ->> '$.image', 'page_([0-9]+)[.]png$', 1), '')::INT AS page FROM q WHERE json_type(p) = 'OBJECT'),
+pages AS (SELECT *, CASE WHEN json_type(p -> '$.label') = 'ARRAY' THEN json_array_length(p -> '$.label')::INT END AS n_boxes FROM m WHERE page IS NOT NULL QUALIFY row_number() OVER (PARTITION BY record_id, page ORDER BY page_pos) = 1)"""
+_LISTED = "CASE json_type(p -> '$.{c}') WHEN 'ARRAY' THEN array_to_string(list_transform(json_extract(p, '$.{c}[*]'), lambda j: j ->> '$'), ',') WHEN 'NULL' THEN '' ELSE coalesce(p ->> '$.{c}', '') END"
+_NTH = "CASE json_type(p -> '$.{c}') WHEN 'ARRAY' THEN json_extract(p, '$.{c}[*]')[n] ->> '$' WHEN 'NULL' THEN NULL ELSE CASE WHEN n = 1 THEN p ->> '$.{c}' END END"
 SQL = {
     "run_time_stats": "SELECT count(value) AS n, avg(value) AS mean_time, max(value) AS most_time, count(*) FILTER (WHERE value > 100) AS n_above FROM events",
     "longest_runs": "SELECT event_id, value FROM events WHERE value IS NOT NULL ORDER BY value DESC, event_id LIMIT 5",
@@ -291,6 +296,27 @@ SELECT a.doc, a.page, a.template, a.cost::BIGINT AS best, b.cost::BIGINT AS seco
   (x1 - x0) * (y1 - y0) AS area, floor((x0 + x1) / 2) AS cx, floor((y0 + y1) / 2) AS cy FROM {_box(False)}""",
     "box_transforms": f"SELECT page, no, {_CORNERS}, CASE WHEN k * k < 0.4 OR k * k > 1.6 THEN 'area' ELSE 'ok' END AS verdict FROM ({_TURN.format(b=_box(False))})",
     "quad_validity": _QUADS,
+    "annotation_pages": f"{_ANNOTATED} SELECT record_id, page, page_pos, coalesce(p ->> '$.image_type', '') AS image_type, n_boxes, {_LISTED.format(c='roi_type')} AS roi_types FROM pages",
+    "annotation_regions": f"""{_ANNOTATED}, bx AS (SELECT *, unnest(json_extract(p, '$.label[*]')) AS v, generate_subscripts(json_extract(p, '$.label[*]'), 1) - 1 AS box_no FROM pages WHERE n_boxes > 0),
+l AS (SELECT *, CASE json_type(v -> '$.rectanglelabels') WHEN 'ARRAY' THEN v ->> '$.rectanglelabels[0]' WHEN 'NULL' THEN NULL ELSE v ->> '$.rectanglelabels' END AS label FROM bx),
+n AS (SELECT *, row_number() OVER (PARTITION BY record_id, page, label ORDER BY box_no) AS n FROM l)
+SELECT record_id, page, box_no::INT AS box_no, label, CASE label WHEN 'roi' THEN {_NTH.format(c='roi_type')} WHEN 'censor' THEN {_NTH.format(c='censor_type')} WHEN 'censor-close' THEN {_NTH.format(c='close_type')} WHEN 'censor_close' THEN {_NTH.format(c='close_type')} END AS sub_attribute,
+  {', '.join(f"CASE WHEN json_type(v -> '$.{c}') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN (v ->> '$.{c}')::DOUBLE END AS {c}" for c in ('x', 'y', 'width', 'height'))} FROM n""",
+    "label_files": f"""{_ANNOTATED}, t AS (SELECT record_id, page_pos AS i, p, string_split(p ->> '$.data.image', '/') AS parts FROM q WHERE p ->> '$.data.image' IS NOT NULL),
+n AS (SELECT *, regexp_replace(array_to_string(parts[greatest(len(parts) - 1, 1):], '_'), '[.][^.]*$', '') AS name FROM t), k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY record_id, i) - 1 AS nth FROM n),
+f AS (SELECT CASE WHEN nth = 0 THEN name ELSE name || '_' || nth END AS file_name, list_filter(flatten(list_transform(coalesce(json_extract(p, '$.annotations[*]'), []), lambda a: coalesce(json_extract(a, '$.result[*]'), []))), lambda r: r ->> '$.type' = 'rectanglelabels') AS rs FROM k),
+v AS (SELECT file_name, (u - 1)::INT AS box_no, rs[u] -> '$.value' AS v FROM f, unnest(range(1, len(rs) + 1)) g(u)),
+r AS (SELECT *, {', '.join(f"try_cast(replace(replace(rtrim(trim(v ->> '$.{c}'), '%'), ',', '.'), ' ', '') AS DOUBLE) AS {c}" for c in ('x', 'y', 'width', 'height'))} FROM v)
+SELECT file_name, box_no, CASE WHEN x + y + width + height IS NOT NULL THEN printf('%d %.6f %.6f %.6f %.6f', CASE v ->> '$.rectanglelabels[0]' {' '.join(f"WHEN '{c}' THEN {n}" for c, n in CLASSES.items())} ELSE 0 END, (x + width / 2) / 100, (y + height / 2) / 100, width / 100, height / 100) END AS line FROM r
+UNION ALL SELECT file_name, NULL, NULL FROM f WHERE len(rs) = 0""",
+    "expected_pages": f"""
+WITH f AS (SELECT e3n_id_hand || '/' || q AS doc, q, object_name AS file, (min(row_id) % 7)::INT AS n_pages FROM manifest WHERE object_name IS NOT NULL AND e3n_id_hand IS NOT NULL AND q IS NOT NULL GROUP BY 1, 2, 3),
+k(q, num_pages, reverse) AS (VALUES {', '.join(f'({q}, {n}, {r})' for q, (n, r, _) in page_matching.QUESTIONNAIRES.items())}),
+r AS (SELECT f.*, num_pages, reverse, CASE WHEN reverse THEN -1 ELSE 1 END * row_number() OVER (PARTITION BY doc ORDER BY file) AS place FROM f JOIN k USING (q) WHERE n_pages > 0),
+b AS (SELECT * FROM r WHERE n_pages > 1 QUALIFY row_number() OVER (PARTITION BY doc ORDER BY n_pages DESC, place) = 1),
+o AS (SELECT doc, 0 AS part, j AS k, file, CASE WHEN reverse THEN n_pages - 1 - j ELSE j END AS page_index FROM b, range(0, 7) t(j) WHERE j < n_pages
+  UNION ALL SELECT r.doc, 1, r.place, r.file, 0 FROM r LEFT JOIN b USING (doc) WHERE r.n_pages = 1 AND coalesce(b.n_pages, 0) < r.num_pages)
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY part, k)::INT AS position, file, page_index::INT AS page_index FROM o""",
     "yolo_rows": """SELECT l_orderkey, l_linenumber, round((l_quantity + l_tax * 100 / 2) / 100, 9) AS xc, round((l_discount * 100 + (l_linenumber + 1) / 2) / 100, 9) AS yc, round(l_tax, 9) AS w, round((l_linenumber + 1) / 100, 9) AS h,
   round(l_quantity, 6) AS back_x, round(l_discount * 100, 6) AS back_y, round(l_tax * 100, 6) AS back_width, (l_linenumber + 1)::DOUBLE AS back_height FROM lineitem""",
 }

@@ -42,3 +42,18 @@ def test_round_trip_of_triples():
     assert [t for t in op.triples(value) if t[2] is not None] == [("a[].b[]", (0, 0), 1), ("a[].b[]", (0, 1), 2), ("a[].b[][]", (0, 2, 0), 3), ("c.e", (), "x")]
     deep = "[" * 100_000 + "]" * 100_000
     assert op._load(deep) is None
+
+
+def test_tables(spark):
+    """A table for each repeated path, with the ordinals of its parents and typed columns."""
+    bodies = ['[{"a":"x","b":[{"v":1,"w":"2","t":["p","q"]},null,{"v":2.5,"w":"z"}]},{"a":"y","b":[]}]', '{"a":{"c":true}}', "{bad", None]
+    df = spark.createDataFrame(list(enumerate(bodies)), "record_id long, body string")
+    flat = op.flatten(df, "record_id", "body")
+    got = op.tables(flat)
+    assert set(got) == {"", "[]", "[].b[]", "[].b[].t[]"}
+    assert dict(got["[].b[]"].dtypes) == {"record_id": "bigint", "n0": "bigint", "n1": "bigint", "v": "double", "w": "string"}
+    assert sorted(map(tuple, got["[].b[]"].collect())) == [(0, 0, 0, 1.0, "2"), (0, 0, 2, 2.5, "z")]
+    assert sorted(map(tuple, got["[].b[].t[]"].collect())) == [(0, 0, 0, 0, "p"), (0, 0, 0, 1, "q")]
+    joined = got["[].b[].t[]"].join(got["[].b[]"], ["record_id", "n0", "n1"]).join(got["[]"], ["record_id", "n0"])
+    assert joined.where("a = 'x' AND v = 1").count() == 2 and [r.a__c for r in got[""].collect()] == ["true"]
+    assert op.tables(flat.limit(0)) == {}
