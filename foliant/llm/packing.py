@@ -29,16 +29,19 @@ def encoder(path: str):
 
 
 def token_counts(documents: DataFrame, doc_id: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """`doc_id, row, n_tokens`, of whole texts; null texts have 0. `row` tells rows with one id apart."""
+    """`doc_id, row, n_tokens`, of whole texts; null texts have 0. `row` tells rows with one id apart: a hash of the text and of the
+    number of the copy, which doesn't depend on how the table is stored."""
 
     def run(batches):
         enc = encoder(tokenizer)
         for batch in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["doc_id", "row", "n_tokens"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["doc_id", "digest", "n_tokens"])
 
-    rows = documents.select(F.col(doc_id).cast("long"), F.monotonically_increasing_id(), F.col(text).cast("string"))
-    return rows.mapInArrow(run, "doc_id long, row long, n_tokens long")
+    rows = documents.select(F.col(doc_id).cast("long"), F.md5(F.col(text).cast("string")), F.col(text).cast("string"))
+    copies = rows.mapInArrow(run, "doc_id long, digest string, n_tokens long").groupBy("doc_id", "digest", "n_tokens").agg(F.count("*").alias("copies"))
+    each = copies.select("doc_id", "digest", "n_tokens", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return each.select("doc_id", F.xxhash64("digest", "copy").alias("row"), "n_tokens")
 
 
 def first_fit(sizes: list[int], capacity: int) -> list[int]:
