@@ -39,7 +39,7 @@ def image_measures(spark, d):
 def image_comparison(spark, d):
     """Each image with the next as its template: correlation of levels and of sums, and whether as much is black."""
     out = images.compared(_pairs(spark, d), ["vec_id"])
-    return out.select("vec_id", *(F.round(c, 6).alias(c) for c in ("ncc", "row_ncc", "column_ncc")), "black_near")
+    return out.select("vec_id", *((F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("ncc", "row_ncc", "column_ncc")), "black_near")
 
 
 def region_votes(spark, d):
@@ -267,7 +267,7 @@ SQL = {
   {_SMALL} AS small, {_part(range(2, 6), range(1, 5))} AS patch, {_part(range(2, 6), range(2, 6))} AS inner, {_part(range(2, 6), range(1, 5))} AS masked FROM {_IMG}""",
     "image_comparison": f"""WITH x AS (SELECT a.vec_id, a.r, a.c, a.v AS v, b.v AS w FROM {_PX} a JOIN {_PX} b ON b.vec_id = a.vec_id + 1 AND b.r = a.r AND b.c = a.c),
 r AS (SELECT vec_id, corr(v, w) AS n FROM (SELECT vec_id, r, sum(v) AS v, sum(w) AS w FROM x GROUP BY 1, 2) GROUP BY 1), c AS (SELECT vec_id, corr(v, w) AS n FROM (SELECT vec_id, c, sum(v) AS v, sum(w) AS w FROM x GROUP BY 1, 2) GROUP BY 1)
-SELECT x.vec_id, round(corr(v, w), 6) AS ncc, round(any_value(r.n), 6) AS row_ncc, round(any_value(c.n), 6) AS column_ncc, abs(count(*) FILTER (WHERE v < 100) - count(*) FILTER (WHERE w < 100)) <= 0.1 * greatest(count(*) FILTER (WHERE w < 100), 1) AS black_near
+SELECT x.vec_id, round(corr(v, w), 4) + 0.0 AS ncc, round(any_value(r.n), 4) + 0.0 AS row_ncc, round(any_value(c.n), 4) + 0.0 AS column_ncc, abs(count(*) FILTER (WHERE v < 100) - count(*) FILTER (WHERE w < 100)) <= 0.1 * greatest(count(*) FILTER (WHERE w < 100), 1) AS black_near
 FROM x JOIN r USING (vec_id) JOIN c USING (vec_id) GROUP BY 1""",
     "template_location": f"SELECT vec_id, true AS found, 2::BIGINT AS x, 1::BIGINT AS y, 1.0::DOUBLE AS score FROM {_IMG}",
     "image_censoring": f"SELECT vec_id, {'||'.join('chr(48)||chr(48)' if 1 <= c <= 4 and 2 <= r <= 5 else f'lpad(upper(hex(p[{8 * r + c + 1}]::BIGINT)), 2, chr(48))' for r in range(8) for c in range(8))} AS levels FROM {_IMG}",
