@@ -138,7 +138,7 @@ def close_quads(spark, d):
     pts = F.array(g.point(x0, y0), g.point(x0 + 40, y0 + 30), g.point(x0 + 10, y0 + 70), g.point(x0 - 30, y0 + 40))
     got = alignment.close_quad(pts, F.lit(1.2), F.col("l_linenumber") - 4.0, F.col("l_quantity") - 25.0)
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", got.alias("q"))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *(F.round(F.get("q", F.lit(k))[a], 6).alias(f"{a}{k}") for k in range(4) for a in "xy"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *((F.round(F.get("q", F.lit(k))[a], 6) + F.lit(0.0)).alias(f"{a}{k}") for k in range(4) for a in "xy"))
 
 
 def _matches(spark, d) -> DataFrame:
@@ -149,7 +149,7 @@ def _matches(spark, d) -> DataFrame:
 def page_transformations(spark, d):
     """How each order's regions say that its page lies: scale, shift and turn from the regions nearest to and farthest from the corner."""
     rows = alignment.transformations(_matches(spark, d), ["l_orderkey"])
-    return rows.select("l_orderkey", *(F.round(c, 6).alias(c) for c in ("scale", "shift_x", "shift_y", "degrees", "reference_x", "reference_y")), "n_matched")
+    return rows.select("l_orderkey", *((F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("scale", "shift_x", "shift_y", "degrees", "reference_x", "reference_y")), "n_matched")
 
 
 def page_extra_shifts(spark, d):
@@ -238,7 +238,7 @@ _LINES = f"(SELECT *, {_S}, row_number() OVER (PARTITION BY l_orderkey ORDER BY
 _ONE = "(SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2)"
 _TOK = f"""(SELECT l_orderkey AS page, l_linenumber AS pos, CASE WHEN l_linenumber % 3 = 0 THEN lpad((l_partkey * 37 % 1000000)::VARCHAR, 6, '0') WHEN l_linenumber % 3 = 1 THEN (l_suppkey % 10)::VARCHAR
   WHEN l_returnflag = 'R' THEN '1234567' ELSE '7' || lpad((l_partkey % 1000000)::VARCHAR, 6, '0') END AS text, (l_quantity * 2)::INT AS conf, (l_partkey % 300)::INT AS "left", (l_suppkey % 40)::INT AS top FROM {_ONE})"""
-_MATCH = f"(SELECT l_orderkey, l_linenumber AS position, l_returnflag <> 'R' AS found, l_quantity - 25 AS sx, l_suppkey % 9 - 4.0 AS sy, l_partkey % 977 + 0.5 AS cx, l_partkey % 1009 + 0.25 AS cy FROM {_ONE})"
+_MATCH = f"(SELECT l_orderkey, l_linenumber AS position, l_returnflag <> 'R' AS found, (l_quantity - 25)::DOUBLE AS sx, (l_suppkey % 9 - 4)::DOUBLE AS sy, (l_partkey % 977 + 0.5)::DOUBLE AS cx, (l_partkey % 1009 + 0.25)::DOUBLE AS cy FROM {_ONE})"
 _MEM = "(SELECT l_orderkey AS archive, lower('q' || l_linenumber || '/' || CASE WHEN l_linestatus = 'O' THEN 'page_' || l_quantity::INT ELSE 'hand' END || '.png') AS member, min(l_quantity) AS n_bytes FROM lineitem GROUP BY 1, 2)"
 _SLOPE = "CASE WHEN {b}y <> {a}y THEN atan(({b}x - {a}x) / ({b}y - {a}y)) ELSE sign({b}x - {a}x) * pi() / 2 END"
 _GROW = "x0 + x1 AS sx, y0 + y1 AS sy, x1 - x0 AS w, y1 - y0 AS h"
@@ -258,7 +258,7 @@ def _quad_point(k: int) -> str:
     x, y = ((0, 0), (40, 30), (10, 70), (-30, 40))[k]
     a = "greatest(l_linenumber - 4.0, 0)" if k in (1, 2) else "least(l_linenumber - 4.0, 0)"
     b = "greatest(l_quantity - 25.0, 0)" if k in (2, 3) else "least(l_quantity - 25.0, 0)"
-    return f"round(x0 + 5 + {x - 5} * 1.2 + 0.8 * {a} - 0.6 * {b}, 6) AS x{k}, round(y0 + 35 + {y - 35} * 1.2 + 0.6 * {a} + 0.8 * {b}, 6) AS y{k}"
+    return f"round(x0 + 5 + {x - 5} * 1.2 + 0.8 * {a} - 0.6 * {b}, 6) + 0.0 AS x{k}, round(y0 + 35 + {y - 35} * 1.2 + 0.6 * {a} + 0.8 * {b}, 6) + 0.0 AS y{k}"
 
 
 SQL = {
@@ -284,18 +284,18 @@ s AS (SELECT page, text AS id FROM t WHERE length(text) = 7 AND text <> '1234567
 SELECT page, coalesce(p.id, s.id) AS id FROM p FULL JOIN s USING (page)""",
     "box_corners": f"""WITH g AS (SELECT *, {_GX0} AS gx0, {_GX1} AS gx1, {_GY0} AS gy0, {_GY1} AS gy1 FROM {_LINES})
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, x0 AS x0, y0 AS y0, x1 AS x1, y0 AS y1, x1 AS x2, y1 AS y2, x0 AS x3, y1 AS y3, trunc(x0)::DOUBLE AS upright_xtl, trunc(y0)::DOUBLE AS upright_ytl, trunc(x1)::DOUBLE AS upright_xbr, trunc(y1)::DOUBLE AS upright_ybr,
-  {_HX0}::DOUBLE AS close_xtl, {_HY0}::DOUBLE AS close_ytl, {_HX1}::DOUBLE AS close_xbr, {_HY1}::DOUBLE AS close_ybr, round(sqrt(floor((x0 + x1) / 2) ^ 2 + floor((y0 + y1) / 2) ^ 2), 6) AS away FROM g""",
+  {_HX0}::DOUBLE + 0.0 AS close_xtl, {_HY0}::DOUBLE + 0.0 AS close_ytl, {_HX1}::DOUBLE + 0.0 AS close_xbr, {_HY1}::DOUBLE + 0.0 AS close_ybr, round(sqrt(floor((x0 + x1) / 2) ^ 2 + floor((y0 + y1) / 2) ^ 2), 6) AS away FROM g""",
     "close_quads": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(map(_quad_point, range(4)))} FROM {_LINES}",
     "page_transformations": f"""WITH m AS MATERIALIZED (SELECT *, sqrt(cx ^ 2 + cy ^ 2) AS o FROM {_MATCH} WHERE found), a AS (SELECT l_orderkey, cx AS ax, cy AS ay, cx + sx AS bx, cy + sy AS "by" FROM m QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY o, position) = 1),
 f AS (SELECT l_orderkey, sx AS fx, sy AS fy FROM m QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY position) = 1),
 z AS (SELECT a.*, cx AS px, cy AS py, cx + sx AS qx, cy + sy AS qy, sqrt((cx - ax) ^ 2 + (cy - ay) ^ 2) AS old FROM m JOIN a USING (l_orderkey) QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY sqrt((cx - ax) ^ 2 + (cy - ay) ^ 2) DESC, position) = 1),
 n AS (SELECT l_orderkey, count(*) FILTER (WHERE found)::INT AS k FROM {_MATCH} GROUP BY 1), t AS (SELECT n.*, z.* EXCLUDE (l_orderkey), f.fx, f.fy, k >= 2 AND old > 0 AS ok FROM n LEFT JOIN z USING (l_orderkey) LEFT JOIN f USING (l_orderkey))
 SELECT l_orderkey, CASE WHEN ok THEN round(sqrt((bx - qx) ^ 2 + ("by" - qy) ^ 2) / old, 6) ELSE 1 END AS scale, CASE WHEN ok THEN fx ELSE 0 END AS shift_x, CASE WHEN ok THEN fy ELSE 0 END AS shift_y,
-  CASE WHEN ok THEN round(degrees(({_SLOPE.format(a='b', b='q').replace('by', '"by"')}) - ({_SLOPE.format(a='a', b='p')})), 6) ELSE 0 END AS degrees, CASE WHEN ok THEN ax ELSE 0 END AS reference_x, CASE WHEN ok THEN ay ELSE 0 END AS reference_y, k AS n_matched FROM t""",
+  CASE WHEN ok THEN round(degrees(({_SLOPE.format(a='b', b='q').replace('by', '"by"')}) - ({_SLOPE.format(a='a', b='p')})), 6) + 0.0 ELSE 0 END AS degrees, CASE WHEN ok THEN ax ELSE 0 END AS reference_x, CASE WHEN ok THEN ay ELSE 0 END AS reference_y, k AS n_matched FROM t""",
     "page_extra_shifts": f"SELECT l_orderkey, count(*) FILTER (WHERE found) >= 2 AS aligned, {', '.join(f'coalesce({f}({c}) FILTER (WHERE found), 0)::DOUBLE AS {n}' for f, c, n in (('max', 'sx', 'most_x'), ('min', 'sx', 'least_x'), ('max', 'sy', 'most_y'), ('min', 'sy', 'least_y')))} FROM {_MATCH} GROUP BY 1",
     "archive_pages": f"SELECT archive, regexp_extract(member, '([0-9]+)[.]png$', 1)::INT AS page, min(member) AS member FROM {_MEM} WHERE regexp_matches(member, '[0-9]+[.]png$') GROUP BY 1, 2",
     "archive_waves": f"SELECT archive, string_agg(q::VARCHAR, ',' ORDER BY q) AS qs FROM (SELECT DISTINCT archive, regexp_extract(member, '^q([0-9]+)/', 1)::INT AS q FROM {_MEM}) GROUP BY 1",
-    "archive_modalities": f"SELECT DISTINCT archive, regexp_extract(member, '^q([0-9]+)/', 1)::INT AS q, regexp_extract(member, '([^/]+)[.]png$', 1) AS modality, CASE regexp_extract(member, '([^/]+)[.]png$', 1) WHEN 'hand' THEN 1 WHEN 'page_1' THEN 2 ELSE 3 END AS position FROM {_MEM}",
+    "archive_modalities": f"SELECT DISTINCT archive, regexp_extract(member, '^q([0-9]+)/', 1)::INT AS q, regexp_extract(member, '([^/]+)[.]png$', 1) AS modality, CASE regexp_extract(member, '([^/]+)[.]png$', 1) WHEN 'hand' THEN 1 WHEN 'page_1' THEN 2 ELSE 3 END::BIGINT AS position FROM {_MEM}",
     "archive_member": f"SELECT archive, min(member) AS member, arg_min(n_bytes, member) AS n_bytes FROM {_MEM} WHERE member = 'hand.png' OR suffix(member, '/hand.png') GROUP BY 1",
     "scan_names": """WITH p AS (SELECT file_path || '_' || file_id % 37 || '.png' AS path, (file_id % 37)::INT AS page FROM page_file)
 SELECT path, page, regexp_extract(path, '[^/]*$') AS name, regexp_replace(regexp_extract(path, '[^/]*$'), '[.][^.]*$', '') AS stem, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder FROM p""",
